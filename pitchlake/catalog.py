@@ -428,3 +428,7 @@ def q_home_advantage(spark, sf):
     " GROUP BY is_win", "summary"))
 def q_efficiency_by_result(spark, sf):
     return analysis.efficiency_by_result(_summary(spark, sf))
+
+
+# Sources, sinks, incremental and streaming queries register themselves on import.
+from pitchlake import catalog_io as _catalog_io  # noqa: E402,F401

@@ -50,8 +50,8 @@ def _pitches(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.pitches(spark, sf)
 
 
-def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.silver_base(_pitches(spark, sf))
+def _silver(spark: SparkSession, sf: str, index: bool = True) -> DataFrame:
+    return silver.silver_base(_pitches(spark, sf), index=index)
 
 
 def _players(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +59,8 @@ def _players(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.enrich(_silver(spark, sf), _players(spark, sf))
+    # Gold and analysis never read idx_game_pitch, so it is not computed here.
+    return silver.enrich(_silver(spark, sf, index=False), _players(spark, sf))
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:

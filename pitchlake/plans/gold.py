@@ -2,12 +2,14 @@
 
 Shuffle plan of ``game_summary``: the source pipeline builds a game header
 (aggregate by game), team statistics (aggregate by game and fielding team)
-and joins the statistics twice (home, away).  Here one aggregation by
+and joins the statistics twice (home, away).  Here one hash aggregation by
 (game, fielding team) computes the header parts and the statistics of every
 team at once (map-side combined, so a hot game collapses before the
 shuffle), and a second, small step by game — a window over the few team rows
 of a game plus an aggregate on the same partitioning — picks the home and
-away rows.  Two exchanges, the second over a handful of rows per game.
+away rows.  Two exchanges, the second over a handful of rows per game, and
+no sort-based aggregation (text values are grouping keys, never ``min``
+buffers, which Spark can only aggregate by sorting).
 """
 
 from __future__ import annotations
@@ -58,16 +60,21 @@ def with_result(df: DataFrame) -> DataFrame:
 
 def game_base(df: DataFrame) -> DataFrame:
     """One row per game: date, type and teams (constant per game, taken with ``min``
-    so the result is deterministic), final score = maximum score, winner and loser."""
-    base = df.groupBy("game_pk").agg(
+    so the result is deterministic), final score = maximum score, winner and loser.
+
+    The text columns are grouping keys of a first (hash) aggregate and their
+    per-game minimum is taken over the few rows left per game."""
+    text_keys = ("game_type", "home_team", "away_team")
+    parts = df.groupBy("game_pk", *text_keys).agg(
         F.min(F.to_date("date")).alias("date"),
-        F.min("game_type").alias("game_type"),
-        F.min("home_team").alias("home_team"),
-        F.min("away_team").alias("away_team"),
         F.max("home_score").alias("home_score"),
         F.max("away_score").alias("away_score"),
     )
-    return with_result(base)
+    game = Window.partitionBy("game_pk")
+    parts = parts.withColumns({k: F.min(k).over(game) for k in text_keys})
+    base = parts.groupBy("game_pk", *text_keys).agg(
+        F.min("date").alias("date"), F.max("home_score").alias("home_score"), F.max("away_score").alias("away_score"))
+    return with_result(base.select("game_pk", "date", *text_keys, "home_score", "away_score"))
 
 
 def category_counts(col: str, groups: Mapping[str, tuple[str, ...]], keep: Column, prefix: str = "n_") -> list[Column]:
@@ -75,12 +82,23 @@ def category_counts(col: str, groups: Mapping[str, tuple[str, ...]], keep: Colum
     return [count_where(keep & F.col(col).isin(*names)).alias(f"{prefix}{g}") for g, names in groups.items()]
 
 
-def _team_partials(df: DataFrame, groups: Mapping[str, tuple[str, ...]] = PITCH_GROUPS) -> DataFrame:
-    """Aggregate by (game, fielding team): header parts over all pitches, statistics
-    over pitches with a measured speed (conditional aggregates instead of a filter)."""
+def _team_parts(df: DataFrame, keys: tuple[str, ...],
+                groups: Mapping[str, tuple[str, ...]] = PITCH_GROUPS) -> DataFrame:
+    """Combinable parts of the team statistics, aggregated by ``keys``.
+
+    Statistics count pitches with a measured speed (conditional aggregates
+    instead of a filter, so the header of the same group comes out of the
+    same pass); averages stay as (sum of hundredths, count) pairs so that
+    groups can be merged exactly later.  Every aggregation buffer is numeric,
+    so Spark plans a hash aggregate with map-side combining.
+    """
     keep = F.col(SPEED).isNotNull()
     ev = F.col("events")
-    stats = [
+    return df.groupBy(*keys).agg(
+        F.min(F.to_date("date")).alias("__date"),
+        F.max("home_score").alias("__home_score"),
+        F.max("away_score").alias("__away_score"),
+        count_where(keep).alias("__kept"),
         count_where(keep & F.col("pitch_number").isNotNull()).alias("pitch_count"),
         *avg_parts(F.when(keep, F.col(SPEED)), "pitch_avg_speed_kmh"),
         count_where(keep & (ev == "strikeout")).alias("field_strikeout_count"),
@@ -94,62 +112,74 @@ def _team_partials(df: DataFrame, groups: Mapping[str, tuple[str, ...]] = PITCH_
         count_where(keep & (ev == "home_run")).alias("hit_homerun"),
         *avg_parts(F.when(keep, F.col("launch_speed_kmh")), "hit_avg_launch_speed"),
         *avg_parts(F.when(keep, F.col("bat_speed_kmh")), "hit_avg_bat_speed"),
-        count_where(keep).alias("__kept"),
-    ]
-    header = [
-        F.min(F.to_date("date")).alias("__date"),
-        F.min("game_type").alias("__game_type"),
-        F.min("home_team").alias("__home_team"),
-        F.min("away_team").alias("__away_team"),
-        F.max("home_score").alias("__home_score"),
-        F.max("away_score").alias("__away_score"),
-    ]
-    part = df.groupBy("game_pk", "fielding_team").agg(*header, *stats)
-    return part.select(
-        "game_pk", "fielding_team", *[c for c in part.columns if c.startswith("__")],
-        *[avg_from_parts(c) if f"{c}__s" in part.columns else F.col(c) for c in TEAM_STAT_COLUMNS],
     )
 
 
+def _finish_stats(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Turn average parts into rounded averages."""
+    return parts.select(*keys, *[avg_from_parts(c) if f"{c}__s" in parts.columns else F.col(c)
+                                 for c in TEAM_STAT_COLUMNS])
+
+
 def team_game_stats(df: DataFrame, groups: Mapping[str, tuple[str, ...]] = PITCH_GROUPS) -> DataFrame:
     """Per (game, fielding team) statistics over pitches with a measured speed.
     A team with no such pitch has no row."""
-    return _team_partials(df, groups).filter(F.col("__kept") > 0).select("game_pk", "fielding_team", *TEAM_STAT_COLUMNS)
+    parts = _team_parts(df, ("game_pk", "fielding_team"), groups).filter(F.col("__kept") > 0)
+    return _finish_stats(parts, ["game_pk", "fielding_team"])
 
 
 def game_summary(df: DataFrame, groups: Mapping[str, tuple[str, ...]] = PITCH_GROUPS) -> DataFrame:
     """One row per game: header, result, home and away pitching, home and away batting.
 
-    The home team's fielding row gives ``home_pitch_*`` and the *away*
+    The home team's fielding pitches give ``home_pitch_*`` and the *away*
     batting columns (the away team bats while the home team fields), and the
-    mirror for the away row.  A side without pitches with a speed gets NULLs.
+    mirror for the away team.  A side without pitches with a speed gets NULLs.
+
+    Stage 1 aggregates by (game, fielding team, home team, away team, game
+    type): the names are grouping keys, not ``min`` buffers, which keeps the
+    aggregation a hash aggregate.  Stage 2 works on those few rows per game:
+    a window takes the game's teams and type (the minimum, deterministic),
+    and one aggregate on the same partitioning sums the parts of the rows
+    whose fielding team is the home (away) team.
     """
-    teams = _team_partials(df, groups)
+    text_keys = ("home_team", "away_team", "game_type")
+    parts = _team_parts(df, ("game_pk", "fielding_team", *text_keys), groups)
     game = Window.partitionBy("game_pk")
-    teams = teams.withColumns({
-        "home_team": F.min("__home_team").over(game),
-        "away_team": F.min("__away_team").over(game),
-    })
-    is_home = (F.col("fielding_team") == F.col("home_team")) & (F.col("__kept") > 0)
-    is_away = (F.col("fielding_team") == F.col("away_team")) & (F.col("__kept") > 0)
-
-    def pick(cond: Column, stat: str, name: str) -> Column:
-        return F.max(F.when(cond, F.col(stat))).alias(name)
-
-    home_pitching = [pick(is_home, s, f"home_{o}") for s, o in PITCHING_OUTPUT.items()]
-    away_batting = [pick(is_home, s, f"away_{o}") for s, o in BATTING_OUTPUT.items()]
-    away_pitching = [pick(is_away, s, f"away_{o}") for s, o in PITCHING_OUTPUT.items()]
-    home_batting = [pick(is_away, s, f"home_{o}") for s, o in BATTING_OUTPUT.items()]
-    summary = teams.groupBy("game_pk").agg(
+    parts = parts.withColumns({f"__g_{k}": F.min(k).over(game) for k in text_keys})
+    is_home = F.col("fielding_team") == F.col("__g_home_team")
+    is_away = F.col("fielding_team") == F.col("__g_away_team")
+    count_cols = [c for c in parts.columns
+                  if c not in ("game_pk", "fielding_team", *text_keys, "__date", "__home_score", "__away_score")
+                  and not c.startswith("__g_")]
+
+    def side(cond: Column, prefix: str) -> list[Column]:
+        # Sums over the side's rows; no row -> NULL (as an unmatched left join).
+        return [F.sum(F.when(cond, F.col(c))).alias(f"{prefix}{c}") for c in count_cols]
+
+    summary = parts.groupBy("game_pk", "__g_home_team", "__g_away_team", "__g_game_type").agg(
         F.min("__date").alias("date"),
-        F.min("__game_type").alias("game_type"),
-        F.min("home_team").alias("home_team"),
-        F.min("away_team").alias("away_team"),
         F.max("__home_score").alias("home_score"),
         F.max("__away_score").alias("away_score"),
-        *home_pitching, *away_batting, *away_pitching, *home_batting,
+        *side(is_home, "__h_"), *side(is_away, "__a_"),
+    )
+
+    def stat(prefix: str, name: str) -> Column:
+        kept = F.col(f"{prefix}__kept") > 0
+        if f"{prefix}{name}__s" in summary.columns:
+            value = avg_from_parts(f"{prefix}{name}")
+        else:
+            value = F.col(f"{prefix}{name}")
+        return F.when(kept, value)
+
+    out = summary.select(
+        "game_pk", "date", F.col("__g_game_type").alias("game_type"), F.col("__g_home_team").alias("home_team"),
+        F.col("__g_away_team").alias("away_team"), "home_score", "away_score",
+        *[stat("__h_", s).alias(f"home_{o}") for s, o in PITCHING_OUTPUT.items()],
+        *[stat("__h_", s).alias(f"away_{o}") for s, o in BATTING_OUTPUT.items()],
+        *[stat("__a_", s).alias(f"away_{o}") for s, o in PITCHING_OUTPUT.items()],
+        *[stat("__a_", s).alias(f"home_{o}") for s, o in BATTING_OUTPUT.items()],
     )
-    return with_result(summary).select(
+    return with_result(out).select(
         "game_pk", "date", "game_type", "home_team", "away_team", "home_score", "away_score", "winner", "loser",
         *[f"home_{o}" for o in PITCHING_OUTPUT.values()], *[f"away_{o}" for o in BATTING_OUTPUT.values()],
         *[f"away_{o}" for o in PITCHING_OUTPUT.values()], *[f"home_{o}" for o in BATTING_OUTPUT.values()],
@@ -184,7 +214,8 @@ def pitcher_yearly_counts(df: DataFrame, keys: tuple[str, ...] = PITCHER_KEYS) -
     flagged = with_flags(df)
     lsa = F.col("launch_speed_angle")
     agg = flagged.groupBy(*keys).agg(
-        F.count("idx_game_pitch").alias("pitch_count"),
+        # idx_game_pitch is never NULL, so counting it counts the pitches.
+        F.count(F.lit(1)).alias("pitch_count"),
         *[p for name, col in PITCHER_AVERAGES.items() for p in avg_parts(col, name)],
         flag_count("is_zone_in").alias("zone_in_count"),
         flag_count("is_whiff").alias("whiff_count"),

@@ -51,7 +51,10 @@ def _pitches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf: str, index: bool = True) -> DataFrame:
-    return silver.silver_base(_pitches(spark, sf), index=index)
+    # Game sizes for the hot-game check are counted on lineitem (a superset
+    # of the pitch rows) instead of recomputing the five-table view.
+    return silver.silver_base(_pitches(spark, sf), index=index,
+                              sizes_from=fixtures.pitch_keys_superset(spark, sf) if index else None)
 
 
 def _players(spark: SparkSession, sf: str) -> DataFrame:

@@ -66,18 +66,24 @@ def ranged_index(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
 def sequence_index(df: DataFrame, partition_by: Sequence[str] = ("game_pk",),
                    order_by: Sequence[str] = ("at_bat_number", "pitch_number"), out: str = "idx_game_pitch",
                    hot_rows: int | None = DEFAULT_HOT_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                   rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+                   rows_per_task: int = DEFAULT_ROWS_PER_TASK, sizes_from: DataFrame | None = None) -> DataFrame:
     """Number the rows of each group 1..n in order (``row_number``).
 
     With ``hot_rows=None`` this is the plain window.  Otherwise one light
     aggregation over the key columns finds the groups above ``hot_rows``;
     if there are none the plain window runs, else cold groups use the window
     and hot groups the range path, and the two are unioned.
+
+    ``sizes_from`` may give a cheaper frame to count the groups on: any
+    frame holding the key columns for a superset of ``df``'s rows (the raw
+    source before filters and inner joins).  Over-counting only sends a
+    group down the range path, which numbers it exactly as well.
     """
     keys = list(partition_by)
     if hot_rows is None:
         return windowed_index(df, keys, order_by, out)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    counted = sizes_from if sizes_from is not None else df
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     hot = sizes.filter(F.col("__rows") > hot_rows)
     # Bounded by max_hot_keys + 1 rows: safe to bring to the driver.
     hot_list = hot.limit(max_hot_keys + 1).collect()

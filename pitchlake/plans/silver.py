@@ -59,20 +59,23 @@ def silver_projection(df: DataFrame, game_type_labels: Mapping[str, str] = GAME_
 
 
 def silver_base(df: DataFrame, game_type_labels: Mapping[str, str] = GAME_TYPE_LABELS,
-                hot_rows: int | None = DEFAULT_HOT_ROWS, index: bool = True) -> DataFrame:
+                hot_rows: int | None = DEFAULT_HOT_ROWS, index: bool = True,
+                sizes_from: DataFrame | None = None) -> DataFrame:
     """Bronze pitches -> silver pitches: filter, project, and number pitches per game.
 
     ``idx_game_pitch`` counts the pitches of a game by at-bat then pitch
     number.  It is numbered over the rows given, so an incremental run must
     pass whole games (see ``plans.runner``).  ``index=False`` leaves it out
     (for jobs that compute gold straight from bronze and never read it, which
-    saves the hot-game check and the shuffle by game).
+    saves the hot-game check and the shuffle by game).  ``sizes_from``: a
+    cheaper frame with ``game_pk`` for a superset of the rows, for the
+    hot-game check (see ``sequence_index``).
     """
     projected = silver_projection(competitive_only(df), game_type_labels)
     if not index:
         return projected
     return sequence_index(projected, ("game_pk",), ("at_bat_number", "pitch_number"), "idx_game_pitch",
-                          hot_rows=hot_rows)
+                          hot_rows=hot_rows, sizes_from=sizes_from)
 
 
 def silver_players(df: DataFrame, id_col: str = "key_mlbam", first: str = "name_first",

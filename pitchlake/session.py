@@ -18,6 +18,10 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Python call-site capture for error messages costs several gateway
+    # round trips per Column built; plans here are built from hundreds of
+    # Columns, so it is off (a static setting: only for sessions built here).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Wide projections (70+ columns) compile to one large method per stage;
     # the JVM does not JIT methods above 8 kB by default and would run them
     # interpreted (about 3x slower here).

@@ -131,17 +131,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan of fewer files than cores over all cores.
 
     A Parquet file with one row group is read by one task, and the broadcast
-    joins after it stay in that task.  A many-file input (any real scale)
-    already has enough splits and is returned unchanged, so no shuffle is
-    added there.
+    joins after it stay in that task.  The rows are hash-partitioned by
+    ``keys`` (the game key downstream), so later windows and aggregations by
+    game find the partitioning in place instead of shuffling wide rows.  A
+    many-file input (any real scale) already has enough splits and is
+    returned unchanged, so no shuffle is added there.
     """
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) < parallelism:
-        return df.repartition(parallelism)
+        return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
     return df
 
 
@@ -153,7 +155,7 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured sizes, sort-merge for lineitem ⋈ orders.
     """
     t = lambda n: read_table(spark, sf_dir, n)
-    l, o, c, h, a, p = (spread_small_input(t("lineitem")).alias("l"), t("orders").alias("o"), t("customer").alias("c"),
+    l, o, c, h, a, p = (spread_small_input(t("lineitem"), "l_orderkey").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
                         t("nation").alias("h"), t("nation").alias("a"), t("part").alias("p"))
     joined = (
         l.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"))

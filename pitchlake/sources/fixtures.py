@@ -132,17 +132,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan of fewer files than cores over all cores.
+    """Spread a scan with fewer splits than cores over all cores.
 
     A Parquet file with one row group is read by one task, and the broadcast
     joins after it stay in that task.  The rows are hash-partitioned by
     ``keys`` (the game key downstream), so later windows and aggregations by
-    game find the partitioning in place instead of shuffling wide rows.  A
-    many-file input (any real scale) already has enough splits and is
-    returned unchanged, so no shuffle is added there.
+    game find the partitioning in place instead of shuffling wide rows.
+    Fewer splits than cores means less than cores × split size of input (a
+    few GB at most), so this shuffle is small; any larger input already has
+    enough splits and is returned unchanged.
     """
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < parallelism:
+    if df.rdd.getNumPartitions() < parallelism:
         return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
     return df
 

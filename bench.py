@@ -6,7 +6,7 @@ Each query is built and run to completion into the ``noop`` sink (all rows
 computed, nothing collected).  The pitch input is recomputed from the driver
 tables every time (5 joins), as in the baseline.  One untimed warm-up run
 first, so the JVM is warm; then each query runs ``BENCH_REPEAT`` times
-(default 2) and the best time is kept.
+(default 3) and the best time is kept.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="pitchlake-bench")
     spark.sparkContext.setLogLevel("ERROR")
 

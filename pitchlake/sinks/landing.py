@@ -36,7 +36,6 @@ def write_landing(df: DataFrame, root: str, date_col: str, mode: str = "dynamic"
     tasks.
     """
     out = df.withColumns(landing_partitions(F.to_date(F.col(date_col))))
-    out = out.drop(*[c for c in PARTITION_COLUMNS if c in df.columns and c not in out.columns])
     out = out.hint("rebalance", *PARTITION_COLUMNS)
     writer = out.write.partitionBy(*PARTITION_COLUMNS).option("maxRecordsPerFile", max_records_per_file)
     if mode == "dynamic":
@@ -64,3 +63,18 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
         return spark.read.schema(INGEST_LOG_SCHEMA).parquet(log_path)
     except Exception:  # noqa: BLE001 - a missing path means an empty log
         return spark.createDataFrame([], INGEST_LOG_SCHEMA)
+
+
+def land_days(spark: SparkSession, rows: DataFrame, root: str, log_path: str, days: DataFrame,
+              date_col: str, day_col: str = "day") -> None:
+    """Land fetched rows and log the requested days that brought none.
+
+    ``rows`` holds what was fetched for the requested ``days``: their days are
+    replaced in the landing tree (dynamic overwrite), and requested days
+    without a row are appended to the ingest log with ``n_rows = 0`` so that
+    ``missing_days`` does not ask for them again.
+    """
+    write_landing(rows, root, date_col, mode="dynamic")
+    got = rows.select(F.to_date(F.col(date_col)).alias("day")).distinct()
+    empty = days.select(F.to_date(F.col(day_col)).alias("day")).distinct().join(got, on="day", how="left_anti")
+    log_days(spark, log_path, empty)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001, rows
 from pitchlake.operators import incremental
-from pitchlake.sinks.landing import log_days, read_log, write_landing
+from pitchlake.sinks.landing import land_days, log_days, read_log, write_landing
 from pitchlake.sources import fixtures
 from pitchlake.sources.landing import read_landing
 from pitchlake.sources.lookup import read_lookup_csv, with_source_file, write_lookup_csv
@@ -71,3 +71,14 @@ def test_csv_roundtrip_keeps_whitespace_and_source(spark, tmp_root):
     back = with_source_file(read_lookup_csv(spark, f"{tmp_root}/part-*.csv"))
     assert rows(back.select("key_mlbam", "name_first", "name_last")) == rows(look)
     assert back.filter(~F.col("source_file").endswith(".csv")).count() == 0
+
+
+def test_land_days_logs_empty_days(spark, tmp_root):
+    ev = fixtures.read_table(spark, SF0001, "events").filter(F.to_date("ts").between("2024-01-01", "2024-01-03"))
+    days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in range(1, 6)], "day date")
+    log_path = tmp_root + "-log"
+    land_days(spark, ev, tmp_root, log_path, days, "ts")
+    assert rows(read_log(spark, log_path).select("day", "n_rows")) == [(dt.date(2024, 1, 4), 0), (dt.date(2024, 1, 5), 0)]
+    landed = read_landing(spark, tmp_root)
+    assert landed.count() == ev.count()
+    assert incremental.missing_days(landed, "2024-01-01", "2024-01-06", log=read_log(spark, log_path)).count() == 1

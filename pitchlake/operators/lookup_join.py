@@ -42,23 +42,23 @@ def resolve_names(fact: DataFrame, dim: DataFrame, roles: Mapping[str, str], key
     """
     small = dim.select(F.col(key).alias("__key"), F.col(value).alias("__value"))
     use_broadcast = fits_broadcast(small, max_broadcast_rows)
+    # The same frame is joined once per role (aliased), so its plan — and the
+    # broadcast of it — is computed once and reused by every role.
+    side = F.broadcast(small) if use_broadcast else small
     out = fact
-    for id_col, name_col in roles.items():
+    for id_col in roles:
         role = f"__dim_{id_col}"
-        side = small.select(F.col("__key").alias(f"{role}_key"), F.col("__value").alias(f"{role}_value"))
-        fact_key = F.col(id_col)
         if use_broadcast:
-            out = out.join(F.broadcast(side), fact_key == F.col(f"{role}_key"), "left")
+            out = out.join(side.alias(role), F.col(id_col) == F.col(f"{role}.__key"), "left")
         else:
-            salt = F.struct(*[F.col(c) for c in (spread_on or out.columns[:4])])
-            out = (out.withColumn(f"{role}_probe", _spread_null_key(fact_key, salt))
-                   .join(side, F.col(f"{role}_probe") == F.col(f"{role}_key"), "left")
-                   .drop(f"{role}_probe"))
-        out = out.drop(f"{role}_key")
+            salt = F.struct(*[F.col(c) for c in (spread_on or fact.columns[:4])])
+            probe = f"__probe_{id_col}"
+            out = (out.withColumn(probe, _spread_null_key(F.col(id_col), salt))
+                   .join(side.alias(role), F.col(probe) == F.col(f"{role}.__key"), "left"))
     cols: list[Column] = []
     for c in fact.columns:
         if c in roles:
-            cols.append(F.col(f"__dim_{c}_value").alias(roles[c]))
+            cols.append(F.col(f"__dim_{c}.__value").alias(roles[c]))
             if keep_ids:
                 cols.append(F.col(c).alias(f"{c}_id"))
         else:

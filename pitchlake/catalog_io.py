@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pitchlake import catalog
 from pitchlake.catalog import register, with_ctes
 from pitchlake.operators import incremental
-from pitchlake.plans import gold
 from pitchlake.session import scratch_path
 from pitchlake.sinks.landing import log_days, read_log, write_landing
 from pitchlake.sinks.layout import Layout
@@ -166,5 +165,3 @@ def q_stream_bronze(spark, sf):
     return (layout.read("bronze_events").groupBy(F.to_date("ts").alias("day"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("value_cents")))
 
-
-__all__ = ["gold"]

@@ -44,3 +44,16 @@ def test_sizes_from_superset(spark):
     superset = df.select("g").union(spark.createDataFrame([(4,)] * 5, "g long"))
     got = sequence_index(df, ["g"], ["ab", "pn"], "i", hot_rows=50, sizes_from=superset)
     assert rows(got, "g", "ab", "pn", "i") == _expected(df)
+
+
+def test_hot_path_on_fixture_equals_plain_window(spark):
+    from conftest import SF001
+    from pitchlake.plans import silver
+    from pitchlake.sources import fixtures
+
+    p = fixtures.pitches(spark, SF001)  # pitch keys are unique at sf0.01
+    keys = ["game_pk", "at_bat_number", "pitch_number", "idx_game_pitch"]
+    forced = silver.silver_base(p, hot_rows=5).select(*keys)   # every game above 5 pitches is "hot"
+    plain = silver.silver_base(p, hot_rows=None).select(*keys)
+    assert forced.count() == plain.count()
+    assert forced.exceptAll(plain).count() == 0

@@ -37,7 +37,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="pitchlake-bench")
+    # Local mode runs every task in the driver JVM, so its heap is the executor memory
+    # (the 1 GB default makes the wide silver sort spend its time in GC).
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="pitchlake-bench",
+                        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

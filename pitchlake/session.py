@@ -31,7 +31,7 @@ SESSION_CONF: dict[str, str] = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "pitchlake") -> SparkSession:
+                app_name: str = "pitchlake", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings.
 
     On a cluster the master and the checkpoint folder come from the
@@ -44,6 +44,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_conf(spark)
     ensure_checkpoint_dir(spark)

@@ -11,10 +11,12 @@ from pitchlake.llm import (
     bitplane,
     chat_trees,
     containment,
+    countmin_windows,
     genetic_packing,
     license_join,
     quality_cascade,
     simhash_pivots,
+    suffix_arrays,
     url_rules,
 )
 from pitchlake.llm.common import prepare
@@ -129,14 +131,28 @@ def op6_genetic_packing(spark: SparkSession, sf: str, tokenizer: str | None = No
     return packed.select(F.col("key").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_suffix_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document, what is left without repeated 200-byte strings."""
+    return suffix_arrays.dedup(_table(spark, sf, "documents")).select(
+        F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op9_countmin_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document, what is left without 13-word windows of earlier documents."""
+    return countmin_windows.dedup(_table(spark, sf, "documents")).select(
+        F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bitplane_tokens": op1_bitplane_tokens,
     "op2_chat_trees": op2_chat_trees,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_quality_cascade": op4_quality_cascade,
+    "op5_suffix_arrays": op5_suffix_arrays,
     "op6_genetic_packing": op6_genetic_packing,
     "op7_url_rules": op7_url_rules,
     "op8_minhash_containment": op8_minhash_containment,
+    "op9_countmin_windows": op9_countmin_windows,
     "op10_license_join": op10_license_join,
 }
 

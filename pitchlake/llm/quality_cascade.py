@@ -52,6 +52,11 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     these names that ``df`` has already are replaced.  Windows of 8 words are
     compared by 64-bit hashes.  One narrow projection: no shuffle.
     """
+    def solid(c: Column) -> Column:
+        # The optimizer would copy a count's whole expression into a filter on it, over and over
+        # for nested ones; it moves no filter below a column that depends on the place of a row.
+        return F.when(F.monotonically_increasing_id() >= 0, c)
+
     hashes = F.transform("__words", lambda w: F.xxhash64(w))
     windows = F.when(F.col("n_words") >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.size("__words") - WINDOW),
@@ -73,10 +78,12 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
             .select("*", windows.alias("__windows"))
             .select("*", ordered.alias("__ordered"))
             .select("*", repeated.alias("__places"))
-            .select(*kept, "n_words",
-                    F.aggregate("__words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
-                    F.regexp_count(F.coalesce(text, F.lit("")), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-                    "n_lines", "n_dup_lines", F.coalesce(covered.cast("long"), F.lit(0).cast("long")).alias("n_repeat_words")))
+            .select(*kept, *[solid(c).alias(name) for name, c in {
+                "n_words": F.col("n_words"),
+                "word_chars": F.aggregate("__words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)),
+                "n_symbols": F.regexp_count(F.coalesce(text, F.lit("")), F.lit(SYMBOLS)).cast("long"),
+                "n_lines": F.col("n_lines"), "n_dup_lines": F.col("n_dup_lines"),
+                "n_repeat_words": F.coalesce(covered.cast("long"), F.lit(0).cast("long"))}.items()]))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -96,7 +103,7 @@ def order_rules(df: DataFrame, rules: Sequence[Rule], prepare: Callable[[DataFra
     scored = []
     for rule in rules:
         began = time.perf_counter()
-        rejected = prepare(sample).agg(F.sum(F.coalesce(rule.rejects(), F.lit(False)).cast("int"))).first()[0] or 0
+        rejected = prepare(sample).agg(F.count_if(rule.rejects())).first()[0] or 0
         scored.append((rejected / max(time.perf_counter() - began, 1e-6), rule))
     return [r for _, r in sorted(scored, key=lambda x: -x[0])]
 

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from pitchlake.llm.tokens import Encoder
 
@@ -177,7 +178,7 @@ def crc32_of_two(a: int, b: int, b_bytes: int) -> int:
     return a ^ b
 
 
-@pandas_udf("long")
+@pandas_udf(LongType())
 def combine_crc(crcs, lengths):  # noqa: ANN001, ANN201  (pandas series of arrays)
     """The checksum of pieces in a row; lengths are in ids of four bytes."""
     import pandas as pd

@@ -156,5 +156,123 @@ QUERIES: dict[str, Query] = {
     "op10_license_join": op10_license_join,
 }
 
-# DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+# ---------------------------------------------------------------------------
+# DuckDB SQL for the queries that SQL can express
+# ---------------------------------------------------------------------------
+
+_SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_UPPER = f"'{url_rules.UPPER}', '{url_rules.LOWER}'"
+_ALNUM = rf"regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _escaped(column: str, line_ends: bool = False) -> str:
+    out = rf"replace(replace(coalesce({column}, ''), '\', '\s'), '<|', '\b')"
+    return rf"replace({out}, chr(10), '\n')" if line_ends else out
+
+
+_CHAT_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len(chat_trees.START) + 1 + len(chat_trees.END)} + length({_escaped("role", True)}) + length({_escaped("text")})) AS BIGINT)
+    AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+_QUALITY_SQL = rf"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_SPLIT} AS ws FROM documents),
+lines AS (SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM w),
+grams AS (SELECT rid, i, array_to_string(ws[i:i+7], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1),
+covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM again) GROUP BY rid),
+counts AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(len(ls) AS BIGINT) AS n_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM w JOIN lines USING (rid) LEFT JOIN covered USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words
+       OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+FROM counts"""
+
+
+def _path_rule_sql(rule: url_rules.UrlRule) -> str:
+    host, _, path = rule.name.partition("/")
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}'))"
+
+
+def _url_sql() -> str:
+    ranked = sorted(URL_RULES, key=lambda r: -r.rank)
+    rule = " ".join(f"WHEN {_path_rule_sql(r)} THEN '{r.name}'" for r in ranked)
+    verdict = " ".join(f"WHEN rule = '{r.name}' THEN '{r.verdict}'" for r in ranked)
+    words = " OR ".join(f"regexp_matches(host || path, '{r.pattern}')" for r in HOST_RULES)
+    return f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {_UPPER}) AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (SELECT *, CASE {rule} END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE {verdict} WHEN {words} THEN 'block' ELSE 'allow' END AS verdict FROM ruled"""
+
+
+_CONTAINMENT_SQL = rf"""
+WITH items AS (SELECT item_id, {_ALNUM} AS ws FROM benchmark),
+docs AS (SELECT doc_id, {_ALNUM} AS ws FROM documents),
+q AS (SELECT DISTINCT item_id, array_to_string(ws[i:i+4], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM items)),
+d AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+4], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM docs)),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM q GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM q JOIN d USING (g) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_shingles, CAST(n_shared AS DOUBLE) / n_shingles AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 10 * n_shared >= 8 * n_shingles"""
+
+_WINDOWS_SQL = rf"""
+WITH w AS (SELECT doc_id, {_SPLIT} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i+12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS f FROM win) WHERE doc_id > f),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM later),
+each AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT e.doc_id, string_agg(x, ' ' ORDER BY e.i) AS t FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i
+  WHERE g.i IS NULL GROUP BY e.doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def _license_sql() -> str:
+    phrases = " UNION ALL ".join(
+        f"SELECT rid, i - 1 AS i, '{label}' AS label FROM each WHERE ws[i:i+{len(p.split()) - 1}] = [{', '.join(repr(x) for x in p.split())}]"
+        for label, p in license_join.PHRASES.items())
+    templates = ", ".join(f"('{k}', [{', '.join(repr(x) for x in sorted(set(v.split())))}])" for k, v in license_join.TEMPLATES.items())
+    blocks = _ALNUM.replace("coalesce(text, '')", "line")
+    return rf"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_ALNUM} AS ws FROM documents),
+each AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+places AS ({phrases}),
+base AS (SELECT rid, count(*) AS n, min(i) AS a, max(i) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM places GROUP BY rid),
+templates(label, ts) AS (VALUES {templates}),
+blocks AS (SELECT rid, {blocks} AS ws FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM w)),
+found AS (SELECT rid, label, len(list_intersect(ts, ws)) AS shared, len(ts) AS size FROM blocks, templates WHERE list_has_any(ts, ws)),
+fits AS (SELECT rid, label, CAST(shared AS DOUBLE) / size AS c FROM found WHERE 10 * shared >= 8 * size),
+every AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM (
+  SELECT rid, label FROM places UNION ALL SELECT rid, label FROM fits) GROUP BY rid),
+best AS (SELECT rid, max(c) AS c FROM fits GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, a AS first_word, b AS last_word,
+  coalesce(base.l, '') AS base_labels, coalesce(every.l, '') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0::DOUBLE) END AS score
+FROM w LEFT JOIN base USING (rid) LEFT JOIN every USING (rid) LEFT JOIN best USING (rid)"""
+
+
+# Without an entry (tests hold them against brute force): token ids, fingerprints and their components,
+# repeated byte strings, packing.
+ORACLES: dict[str, str] = {
+    "op2_chat_trees": _CHAT_SQL,
+    "op4_quality_cascade": _QUALITY_SQL,
+    "op7_url_rules": _url_sql(),
+    "op8_minhash_containment": _CONTAINMENT_SQL,
+    "op9_countmin_windows": _WINDOWS_SQL,
+    "op10_license_join": _license_sql(),
+}

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from pitchlake.llm.common import byte_values, mix, powers, prefix_hash, range_hash, release, text_chunks, written
 
@@ -431,7 +432,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wide: int =
     return gone.union(whole)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _kept_text(texts, found):  # noqa: ANN001, ANN202  (pandas series)
     """Each text without its repeated bytes; characters that lost a byte go whole.  Null texts stay null."""
     import pandas as pd

@@ -81,9 +81,9 @@ def choice_masks(max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) ->
 def finer_masks(mask: int, max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) -> list[int]:
     """``mask`` with choices of segments of the bits that it leaves open (again one holds for every close pair)."""
     free = [i for i in range(64) if not mask >> i & 1]
-    groups = [sum(1 << i for i in g) for g in np.array_split(free, segments) if len(g)]
+    groups = [sum(1 << int(i) for i in g) for g in np.array_split(free, segments) if len(g)]
     keep = max(0, len(groups) - max_distance)
-    return [mask | sum(int(g) for g in c) for c in combinations(groups, keep)]
+    return [mask | sum(c) for c in combinations(groups, keep)]
 
 
 def bucket_rows(fps: DataFrame, masks: list[int], table: str) -> DataFrame:

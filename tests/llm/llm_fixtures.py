@@ -1,10 +1,10 @@
-import os
+"""Odd rows for the tests of this folder."""
+
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+SF0001, SF001 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, key long, th long, fp long, component long, "
           "hash long, n_words long, rule string, token string, row long, part long, uid long, label string, k long, h string")
@@ -39,11 +39,3 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def pairs(df):
-    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
-
-
-def ordered(rows):
-    return sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -4,7 +4,7 @@ import hashlib
 
 import brute
 import pytest
-from conftest import SF0001
+from llm_fixtures import SF0001
 from pyspark.sql import functions as F
 
 from pitchlake.llm import chat_trees, queries, url_rules

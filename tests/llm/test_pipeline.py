@@ -3,7 +3,7 @@
 import brute
 import duckdb
 import pytest
-from conftest import SF0001, SF001
+from llm_fixtures import SF0001, SF001, none, odd  # noqa: F401  (fixtures)
 
 import __spark_entry__ as entry
 import corpus_pipeline

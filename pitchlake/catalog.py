@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchlake.operators.sequence import sequence_index
 from pitchlake.plans import analysis, gold, silver
 from pitchlake.schemas import (
     BARREL_LABEL,
@@ -38,6 +39,8 @@ MIN_SAMPLE = 2
 DOMINANCE_MIN_PITCHES = 1
 DOMINANCE_SEASON = 1997
 TOP_K = 20
+# Rows per bucket of the hot-game query (the fixture's hot game has about 20,000 at sf0.01).
+HOT_BUCKET_ROWS = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +54,8 @@ def _pitches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf: str, index: bool = True) -> DataFrame:
-    # Game sizes for the hot-game check are counted on lineitem (a superset
-    # of the pitch rows) instead of recomputing the five-table view.
+    # Games are counted on lineitem (a superset of the pitch rows) instead of
+    # recomputing the five-table view.
     return silver.silver_base(_pitches(spark, sf), index=index,
                               sizes_from=fixtures.pitch_keys_superset(spark, sf) if index else None)
 
@@ -303,6 +306,21 @@ def q_sequence_index(spark, sf):
     return _silver(spark, sf).select(*_KEYS, "idx_game_pitch")
 
 
+_HOT_GAME = "CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_orderkey END"
+
+
+@register("sequence_hot_game", (
+    f"SELECT l_orderkey, l_linenumber, {_HOT_GAME} AS game_pk, CAST(row_number() OVER (PARTITION BY {_HOT_GAME}"
+    " ORDER BY l_partkey * 10000 + l_suppkey, l_linenumber, l_orderkey) AS INTEGER) AS idx_game_pitch FROM lineitem"))
+def q_sequence_hot_game(spark, sf):
+    """One game holds a third of all rows; small buckets, so that it is numbered in many of them."""
+    rows = fixtures.read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.expr(_HOT_GAME).alias("game_pk"),
+        (F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("at_bat_number"))
+    return sequence_index(rows, ["game_pk"], ["at_bat_number", "l_linenumber", "l_orderkey"],
+                          rows_per_bucket=HOT_BUCKET_ROWS).drop("at_bat_number")
+
+
 @register("silver_base", with_ctes("SELECT * FROM silver", "silver"))
 def q_silver_base(spark, sf):
     return _silver(spark, sf)
@@ -382,7 +400,7 @@ def q_min_sample(spark, sf):
 
 
 @register("dominance_top20", with_ctes(
-    "SELECT *, round(raw_stuff * whiff_rate * (1.5 - slugging_per_pitch), 2) AS dominance_score FROM ("
+    "SELECT *, round(raw_stuff * whiff_rate * (1.5 - slugging_per_pitch), 2) + 0.0 AS dominance_score FROM ("
     "SELECT *, avg_velocity * 0.4 + total_break * 0.6 AS raw_stuff FROM yearly "
     f"WHERE pitch_name = '4-Seam Fastball' AND pitch_count > {DOMINANCE_MIN_PITCHES} AND season = {DOMINANCE_SEASON}) "
     "ORDER BY dominance_score DESC NULLS LAST, season ASC NULLS FIRST, pitcher ASC NULLS FIRST, "

@@ -5,17 +5,23 @@ readers, and returns a DataFrame over the written data."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from pitchlake import catalog
 from pitchlake.catalog import register, with_ctes
 from pitchlake.operators import incremental
 from pitchlake.session import scratch_path
-from pitchlake.sinks.landing import log_days, read_log, write_landing
+from pitchlake.plans import runner
+from pitchlake.plans.bronze import read_bronze_source
+from pitchlake.schemas import PITCH_KEYS
+from pitchlake.sinks.landing import landed_days, log_days, read_log, write_landing
 from pitchlake.sinks.layout import Layout
 from pitchlake.sinks.upsert import merge_rows
 from pitchlake.sources import fixtures
 from pitchlake.sources.landing import read_landing
+from pitchlake.sources.local import from_local
 from pitchlake.sources.lookup import read_lookup_csv, with_source_file, write_lookup_csv
 from pitchlake.streaming.bronze_stream import stream_bronze
 
@@ -57,7 +63,7 @@ def q_date_range_scan(spark, sf):
 
 @register("latest_date", "SELECT max(CAST(ts AS DATE)) AS latest_date FROM events")
 def q_latest_date(spark, sf):
-    return incremental.latest_date_frame(read_landing(spark, _land_events(spark, sf)))
+    return incremental.latest_date_frame(landed_days(spark, _land_events(spark, sf)), "day")
 
 
 @register("landed_range", (
@@ -79,10 +85,62 @@ def q_missing_days(spark, sf):
     log_path = scratch_path(spark, "ingest-log")
     saturdays = events.filter(F.dayofweek("ts") == SATURDAY).select(F.to_date("ts").alias("day")).distinct()
     log_days(spark, log_path, saturdays)
-    return incremental.missing_days(read_landing(spark, root), rng["start_date"], rng["end_date"],
+    return incremental.missing_days(landed_days(spark, root), rng["start_date"], rng["end_date"], "day",
                                     log=read_log(spark, log_path))
 
 
+@register("skip_gate", (
+    "SELECT 'landed' AS span, TRUE AS ran, min(CAST(ts AS DATE)) AS start_date, max(CAST(ts AS DATE)) AS end_date FROM events"
+    " UNION ALL SELECT 'empty', FALSE, NULL, NULL"))
+def q_skip_gate(spark, sf):
+    """A step that runs for a range with rows and is skipped for one without."""
+    landed = read_landing(spark, _land_events(spark, sf))
+    spans = {"landed": landed, "empty": landed.filter(F.col("ts").isNull())}
+    out = []
+    for name, rows in spans.items():
+        got = incremental.run_if_new(incremental.landed_range(rows).first(), lambda lo, hi: (lo, hi))
+        out.append((name, got is not None, *(got or (None, None))))
+    return spark.createDataFrame(out, "span string, ran boolean, start_date date, end_date date")
+
+
+@register("local_roundtrip", (
+    "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value, event_type FROM events"
+    " WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"))
+def q_local_roundtrip(spark, sf):
+    """One fetched day as a local frame with NaN for missing measures, as a fetch leaves it, landed and read back."""
+    events = _events(spark, sf)
+    last = incremental.latest_date(events, "ts")
+    day = events.filter(F.to_date("ts") == F.lit(last)).toPandas()
+    day.loc[day["event_id"] % 5 == 0, "value"] = float("nan")
+    root = _land_events(spark, sf, from_local(spark, day, events.schema))
+    return read_landing(spark, root).select("event_id", "value", "event_type")
+
+
+@register("ingest_days", (
+    "SELECT CAST(s.d AS DATE) AS day, (SELECT count(*) FROM events e WHERE CAST(e.ts AS DATE) = CAST(s.d AS DATE)) AS n_landed,"
+    f" CASE WHEN CAST(s.d AS DATE) > DATE '{RANGE_START}' THEN (SELECT count(*) FROM events e WHERE CAST(e.ts AS DATE) = CAST(s.d AS DATE))"
+    " END AS n_logged FROM generate_series((SELECT min(CAST(ts AS DATE)) FROM events),"
+    " (SELECT max(CAST(ts AS DATE)) FROM events) + INTERVAL 2 DAY, INTERVAL 1 DAY) s(d)"))
+def q_ingest_days(spark, sf):
+    """Days up to RANGE_START are landed; the ingest step fetches, lands and logs all later ones, two of them empty."""
+    events = _events(spark, sf)
+    rng = incremental.landed_range(events, "ts").first()
+    root = _land_events(spark, sf, events.filter(F.to_date("ts") <= F.lit(RANGE_START).cast("date")))
+    log_path = scratch_path(spark, "ingest-log")
+    end = rng["end_date"] + dt.timedelta(days=2)
+
+    def fetch(days):
+        return events.join(days, F.to_date("ts") == F.col("day"), "left_semi")
+
+    runner.ingest(spark, root, log_path, fetch, end, "ts")
+    runner.ingest(spark, root, log_path, fetch, end, "ts")  # nothing is left to ask for
+    spine = spark.range(1).select(F.explode(F.sequence(F.lit(rng["start_date"]), F.lit(end))).alias("day"))
+    landed = read_landing(spark, root).groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_landed"))
+    logged = read_log(spark, log_path).groupBy("day").agg(F.sum("n_rows").alias("n_logged"))
+    return (spine.join(landed, "day", "left").join(logged, "day", "left")
+            .select("day", F.coalesce("n_landed", F.lit(0).cast("long")).alias("n_landed"), "n_logged"))
+
+
 _UPSERT_COLS = ["game_pk", "at_bat_number", "pitch_number", "game_date", "home_score"]
 
 
@@ -101,6 +159,31 @@ def q_upsert_three_keys(spark, sf):
     return merge_rows(target, source, ["game_pk", "at_bat_number", "pitch_number"]).select(*_UPSERT_COLS)
 
 
+# A partitioned upsert: by month, with rows that have none, and keys whose month moves.
+_MONTH = "CASE WHEN game_pk % 97 = 0 THEN NULL ELSE CAST(date_trunc('month', game_date) AS DATE) END"
+_NEXT_MONTH = ("CASE WHEN game_pk % 97 = 0 THEN NULL WHEN game_pk % 5 = 0 THEN"
+               " CAST(date_trunc('month', game_date) + INTERVAL 1 MONTH AS DATE) ELSE CAST(date_trunc('month', game_date) AS DATE) END")
+
+
+@register("upsert_partitioned", with_ctes(
+    f"SELECT t.*, {_MONTH} AS month FROM pitches t WHERE game_date < DATE '{UPSERT_TARGET_BEFORE}'"
+    f" AND NOT EXISTS (SELECT 1 FROM pitches s WHERE s.game_date >= DATE '{UPSERT_SOURCE_FROM}' AND s.game_pk = t.game_pk"
+    " AND s.at_bat_number = t.at_bat_number AND s.pitch_number = t.pitch_number)"
+    f" UNION ALL SELECT * REPLACE (home_score + 1 AS home_score), {_NEXT_MONTH} AS month FROM pitches"
+    f" WHERE game_date >= DATE '{UPSERT_SOURCE_FROM}'", "pitches"))
+def q_upsert_partitioned(spark, sf):
+    """Three-key upsert into a stored table partitioned by month; only touched months are rewritten; all columns compared."""
+    layout = Layout(spark, scratch_path(spark, "layout-pitches"))
+    p = fixtures.pitches(spark, sf)
+    month = F.trunc("game_date", "month")
+    none = F.col("game_pk") % 97 == 0
+    target = p.filter(F.col("game_date") < F.lit(UPSERT_TARGET_BEFORE).cast("date")).withColumn("month", F.when(~none, month))
+    source = (p.filter(F.col("game_date") >= F.lit(UPSERT_SOURCE_FROM).cast("date")).withColumn("home_score", F.col("home_score") + 1)
+              .withColumn("month", F.when(~none, F.when(F.col("game_pk") % 5 == 0, F.add_months(month, 1)).otherwise(month))))
+    layout.upsert("pitches", target, PITCH_KEYS, partition_by="month")
+    return layout.upsert("pitches", source, PITCH_KEYS, partition_by="month")
+
+
 _SUMMARY_COLS = ["game_pk", "date", "home_team", "home_score", "away_score", "winner", "home_pitch_count"]
 
 
@@ -147,9 +230,8 @@ def q_partitioned_table_roundtrip(spark, sf):
 
 
 @register("stream_bronze", (
-    "SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(round((value + CASE WHEN CAST(ts AS DATE) ="
-    " (SELECT max(CAST(ts AS DATE)) FROM events) THEN 1 ELSE 0 END) * 100)) AS BIGINT) AS value_cents"
-    " FROM events GROUP BY 1"))
+    "SELECT event_id, ts, user_id, event_type, value + CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"
+    " THEN 1 ELSE 0 END AS value, props, CAST(ts AS DATE) AS day FROM events"))
 def q_stream_bronze(spark, sf):
     """Land all days, stream them into bronze, re-land the latest day corrected, stream again."""
     events = _events(spark, sf)
@@ -157,11 +239,70 @@ def q_stream_bronze(spark, sf):
     layout = Layout(spark, scratch_path(spark, "layout-stream"))
     ckpt = scratch_path(spark, "stream-ckpt")
     schema = events.schema
-    stream_bronze(spark, root, schema, layout, "bronze_events", ["event_id"], ckpt)
+    stream_bronze(spark, root, schema, layout, "bronze_events", ["event_id"], ckpt, partition_by="day", day_of="ts")
     last = incremental.latest_date(events, "ts")
     corrected = events.filter(F.to_date("ts") == F.lit(last)).withColumn("value", F.col("value") + 1)
     write_landing(corrected, root, "ts", mode="dynamic")
-    stream_bronze(spark, root, schema, layout, "bronze_events", ["event_id"], ckpt)
-    return (layout.read("bronze_events").groupBy(F.to_date("ts").alias("day"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("value_cents")))
+    stream_bronze(spark, root, schema, layout, "bronze_events", ["event_id"], ckpt, partition_by="day", day_of="ts")
+    return layout.read("bronze_events").select(*schema.names, "day")
+
+
+# The daily pipeline.  All games of a month are landed on its first day (84 days instead of 2,400 keep
+# the number of folders small).  Those from RELANDED_FROM on are landed again, some as exhibition games,
+# some in another season.
+RELANDED_FROM = "1998-05-01"
+_DAY = "CAST(date_trunc('month', game_date) AS DATE)"
+_LANDED = f"{_DAY} AS game_date"
+_RELANDED = (
+    f"CASE WHEN game_date >= DATE '{RELANDED_FROM}' AND game_pk % 11 = 0 THEN 'S' ELSE game_type END AS game_type,"
+    f" CASE WHEN game_date >= DATE '{RELANDED_FROM}' AND game_pk % 7 = 0 THEN CAST({_DAY} + INTERVAL 400 DAY AS DATE)"
+    f" ELSE {_DAY} END AS game_date")
+
+
+def _over_landed(changes: str, body: str, *needs: str) -> str:
+    """``body`` over the pitches with ``changes`` to their columns."""
+    rest = with_ctes(body, *needs)[len("WITH " + catalog.CTE_PITCHES):]
+    landed = catalog.CTE_PITCHES.replace("pitches AS (", "landed AS (", 1)
+    return f"WITH {landed},\npitches AS (SELECT * REPLACE ({changes}) FROM landed){rest}"
+
+
+def _by_month(spark, sf):
+    return fixtures.pitches(spark, sf).withColumn("game_date", F.trunc("game_date", "month"))
+
+
+def _land_pitches(spark, rows, name):
+    root = scratch_path(spark, name)
+    write_landing(rows, root, "game_date")
+    return root
+
 
+def _load(spark, sf):
+    """All pitches landed by day and loaded into every layer."""
+    layout = Layout(spark, scratch_path(spark, "layout-pipeline"))
+    register_csv = scratch_path(spark, "register-csv")
+    write_lookup_csv(fixtures.lookup(spark, sf), register_csv)
+    runner.load_players(spark, layout, f"{register_csv}/part-*.csv")
+    root = _land_pitches(spark, _by_month(spark, sf), "landing-pitches")
+    runner.full_load(spark, layout, read_bronze_source(spark, root))
+    return layout
+
+
+@register("pipeline_full", _over_landed(_LANDED, "SELECT * FROM summary", "summary"))
+def q_pipeline_full(spark, sf):
+    """Landing, bronze, silver, enriched and gold tables, written and read back."""
+    return _load(spark, sf).read(runner.GAMES).drop("season")
+
+
+@register("pipeline_incremental", _over_landed(_RELANDED, "SELECT * FROM yearly", "yearly"))
+def q_pipeline_incremental(spark, sf):
+    """A full load, then one increment of days landed again; the seasons then equal a full load of the final rows."""
+    layout = _load(spark, sf)
+    late = F.col("game_date") >= F.lit(RELANDED_FROM).cast("date")
+    rows = (_by_month(spark, sf).filter(late)
+            .withColumn("game_type", F.when(F.col("game_pk") % 11 == 0, "S").otherwise(F.col("game_type")))
+            .withColumn("game_date", F.when(F.col("game_pk") % 7 == 0, F.date_add("game_date", 400)).otherwise(F.col("game_date"))))
+    root = _land_pitches(spark, rows, "landing-again")
+    last = incremental.latest_date(landed_days(spark, root), "day")
+    landed = read_bronze_source(spark, root, RELANDED_FROM, last)
+    runner.incremental_run(spark, layout, landed, RELANDED_FROM, last)
+    return layout.read(runner.PITCHERS)

@@ -30,7 +30,3 @@ def avg_from_parts(name: str, scale: int = 2) -> Column:
     s, n = f"`{name}__s`", f"`{name}__n`"
     q = F.expr(f"CAST(sign({s}) AS BIGINT) * ((2 * abs({s}) + {n}) div (2 * {n}))")
     return F.when(F.col(f"{name}__n") > 0, q.cast("double") / F.lit(float(10 ** scale))).alias(name)
-
-
-def part_names(name: str) -> list[str]:
-    return [f"{name}__s", f"{name}__n"]

@@ -1,10 +1,10 @@
 """Dimension lookup: replace id columns of a fact table by names from a dimension.
 
-The dimension is broadcast only after a row-count check proves it small
-(``max_broadcast_rows``); the fact table is then never shuffled and all
-roles resolve in one stage.  A larger dimension falls back to shuffle joins;
-there, NULL fact ids (which can never match) are spread over many tasks
-instead of all hashing to one, and AQE's skew-join split handles hot ids.
+A plain left join per role on two columns, the id and whether there is one.
+Spark chooses the strategy from the size of the dimension (a small one is
+broadcast).  NULL ids match nothing: they carry one of ``NULL_SPREAD`` numbers
+in place of the id, so that they spread over many tasks where the join
+shuffles; hot ids are split by the skew-join rule.
 """
 
 from __future__ import annotations
@@ -14,25 +14,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension broadcast to every executor (rows of id + name).
-DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
-# Number of spread values for NULL ids on the shuffle path.
+# Number of spread values for NULL ids.
 NULL_SPREAD = 4096
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting just above the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _spread_null_key(key: Column, salt: Column) -> Column:
-    """NULL ids become distinct negative numbers so they spread over tasks (they match nothing)."""
-    return F.coalesce(key, -(F.pmod(F.xxhash64(salt), F.lit(NULL_SPREAD)) + 1))
-
-
 def resolve_names(fact: DataFrame, dim: DataFrame, roles: Mapping[str, str], key: str = "player_id",
-                  value: str = "player_name", keep_ids: bool = False,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, spread_on: tuple[str, ...] = ()) -> DataFrame:
+                  value: str = "player_name", keep_ids: bool = False, spread_on: tuple[str, ...] = ()) -> DataFrame:
     """Left-join ``dim`` once per role and replace each role's id column by the looked-up value.
 
     ``roles`` maps fact id column -> output column.  The output column takes
@@ -40,21 +27,15 @@ def resolve_names(fact: DataFrame, dim: DataFrame, roles: Mapping[str, str], key
     kept as ``<role>_id`` too.  Unmatched or NULL ids give NULL.  The
     dimension must hold one row per key (see ``silver_players``).
     """
-    small = dim.select(F.col(key).alias("__key"), F.col(value).alias("__value"))
-    use_broadcast = fits_broadcast(small, max_broadcast_rows)
-    # The same frame is joined once per role (aliased), so its plan — and the
-    # broadcast of it — is computed once and reused by every role.
-    side = F.broadcast(small) if use_broadcast else small
+    # The same frame is joined once per role (aliased), so its plan is computed once and reused by every role.
+    side = dim.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("__key"), F.col(value).alias("__value"),
+                                                     F.lit(True).alias("__is"))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in (spread_on or fact.columns[:4])]), F.lit(NULL_SPREAD))
     out = fact
     for id_col in roles:
         role = f"__dim_{id_col}"
-        if use_broadcast:
-            out = out.join(side.alias(role), F.col(id_col) == F.col(f"{role}.__key"), "left")
-        else:
-            salt = F.struct(*[F.col(c) for c in (spread_on or fact.columns[:4])])
-            probe = f"__probe_{id_col}"
-            out = (out.withColumn(probe, _spread_null_key(F.col(id_col), salt))
-                   .join(side.alias(role), F.col(probe) == F.col(f"{role}.__key"), "left"))
+        out = out.join(side.alias(role), (F.coalesce(F.col(id_col).cast("long"), spread) == F.col(f"{role}.__key"))
+                       & (F.col(id_col).isNotNull() == F.col(f"{role}.__is")), "left")
     cols: list[Column] = []
     for c in fact.columns:
         if c in roles:

@@ -1,102 +1,99 @@
-"""Sequence number of each row inside its group (``row_number``), skew-safe.
-
-The plain form is one ``row_number()`` window: one shuffle by the group key,
-then a sort inside each task.  That puts a whole group into one task, so a
-group holding a large share of all rows would run on one core.  Groups above
-``hot_rows`` rows are therefore numbered differently:
-
-1. their rows are range-partitioned on (group key, order key), which splits
-   one group over many tasks of bounded size, and sorted inside each task;
-2. each row gets its position inside the task from
-   ``monotonically_increasing_id`` (consecutive within a task);
-3. a small table of (task, group) -> (first position, row count) — at most
-   one row per task plus one per hot group — gives, through a window over
-   the tasks of each group, the number of rows of the group in earlier
-   tasks;
-4. the row number is ``position - first position + 1 + rows before``.
-
-The hot-key table is bounded: at most ``total rows / hot_rows`` keys, and it
-is only broadcast after checking it has at most ``max_hot_keys`` rows.
+"""Sequence number of each row inside its group (``row_number``), whatever the size of the group.
+
+One plan for all groups, in which every number follows from column values:
+
+1. groups with more than ``rows_per_bucket`` rows get bounds, quantiles of
+   their first order column.  The bounds are written once (one row per such
+   group), so a recomputed task sees the same ones;
+2. a row's bucket is the number of bounds of its group below its order value,
+   0 without bounds, so buckets of a group follow each other in order;
+3. rows are numbered inside (group, bucket), and the rows of earlier buckets are
+   added (a prefix sum over one row per bucket of the groups with bounds).
+
+Poor bounds cost balance, never a number.  Rows that tie on the first order
+column share a bucket.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more rows than this is numbered by range partitioning.
-DEFAULT_HOT_ROWS = 2_000_000
-# Most hot keys that are broadcast as a list; above it every row takes the range path.
-DEFAULT_MAX_HOT_KEYS = 100_000
-# Rows per task on the range path.
-DEFAULT_ROWS_PER_TASK = 2_000_000
+from pitchlake.session import scratch_path
 
-
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
+# Rows of a group that one task sorts.
+DEFAULT_ROWS_PER_BUCKET = 1_000_000
+# Most buckets of a group (the resolution of its bounds).
+MAX_BUCKETS = 1000
 
 
 def windowed_index(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], out: str) -> DataFrame:
     """``row_number() OVER (PARTITION BY … ORDER BY …)`` as an int column."""
-    w = Window.partitionBy(*_cols(partition_by)).orderBy(*_cols(order_by))
+    w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn(out, F.row_number().over(w).cast("int"))
 
 
-def ranged_index(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], out: str,
-                 num_tasks: int) -> DataFrame:
-    """Row number computed over a range partitioning (hot groups spread over tasks)."""
-    keys = list(partition_by)
-    sort_cols = _cols(keys) + _cols(order_by)
-    ranged = (df.repartitionByRange(max(1, num_tasks), *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("__task", F.spark_partition_id())
-              .withColumn("__pos", F.monotonically_increasing_id()))
-    # (task, group) blocks: bounded by tasks + groups on this path.
-    blocks = ranged.groupBy("__task", *keys).agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*_cols(keys)).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    joined = ranged.join(F.broadcast(blocks), on=["__task", *keys], how="inner")
-    return (joined.withColumn(out, (F.col("__pos") - F.col("__first") + 1 + F.col("__before")).cast("int"))
-            .drop("__task", "__pos", "__first", "__before"))
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Null-safe equality of two lists of columns."""
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def group_bounds(df: DataFrame, keys: Sequence[str], order: str, rows_per_bucket: int,
+                 sizes_from: DataFrame | None = None) -> DataFrame:
+    """(``__k0``…, ``__bounds``): ascending bounds of every group above ``rows_per_bucket`` rows, written."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    counted = (sizes_from if sizes_from is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    large = _kept(counted.filter(F.col("__rows") > rows_per_bucket)
+                  .select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__rows"), "sequence-groups")
+    value = F.percentile_approx(F.col(order), F.array(*[F.lit(i / MAX_BUCKETS) for i in range(1, MAX_BUCKETS)]), F.lit(10_000))
+    # Every (MAX_BUCKETS / buckets)-th quantile.
+    buckets = F.least(F.lit(MAX_BUCKETS), F.ceil(F.col("__rows") / rows_per_bucket)).cast("int")
+    quantiles = (df.select(*keys, order).join(large, _same(keys, names)).groupBy(*names).agg(
+        value.alias("__q"), F.first("__rows").alias("__rows")))
+    chosen = F.array_distinct(F.transform(F.sequence(F.lit(1), buckets - 1), lambda i: F.element_at(
+        "__q", F.greatest(F.lit(1), F.floor(i * MAX_BUCKETS / buckets).cast("int")))))
+    bounds = quantiles.select(*names, chosen.alias("__bounds"))
+    if large.isEmpty():
+        return df.sparkSession.createDataFrame([], bounds.schema)
+    return _kept(bounds, "sequence-bounds")
 
 
 def sequence_index(df: DataFrame, partition_by: Sequence[str] = ("game_pk",),
                    order_by: Sequence[str] = ("at_bat_number", "pitch_number"), out: str = "idx_game_pitch",
-                   hot_rows: int | None = DEFAULT_HOT_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                   rows_per_task: int = DEFAULT_ROWS_PER_TASK, sizes_from: DataFrame | None = None) -> DataFrame:
-    """Number the rows of each group 1..n in order (``row_number``).
-
-    With ``hot_rows=None`` this is the plain window.  Otherwise one light
-    aggregation over the key columns finds the groups above ``hot_rows``;
-    if there are none the plain window runs, else cold groups use the window
-    and hot groups the range path, and the two are unioned.
-
-    ``sizes_from`` may give a cheaper frame to count the groups on: any
-    frame holding the key columns for a superset of ``df``'s rows (the raw
-    source before filters and inner joins).  Over-counting only sends a
-    group down the range path, which numbers it exactly as well.
+                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, sizes_from: DataFrame | None = None) -> DataFrame:
+    """Number the rows of each group 1..n in order (``row_number``, NULLs first, NULL keys a group).
+
+    The first order column must be a number, a date or a timestamp.
+    ``sizes_from`` may give a cheaper frame to count the groups on: any frame
+    holding the key columns for a superset of ``df``'s rows.  Counts only
+    decide how many buckets a group gets.
     """
-    keys = list(partition_by)
-    if hot_rows is None:
-        return windowed_index(df, keys, order_by, out)
-    counted = sizes_from if sizes_from is not None else df
-    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = sizes.filter(F.col("__rows") > hot_rows)
-    # Bounded by max_hot_keys + 1 rows: safe to bring to the driver.
-    hot_list = hot.limit(max_hot_keys + 1).collect()
-    if not hot_list:
-        return windowed_index(df, keys, order_by, out)
-    if len(hot_list) > max_hot_keys:
-        total = sizes.agg(F.sum("__rows")).first()[0]
-        return ranged_index(df, keys, order_by, out, math.ceil(total / rows_per_task))
-    hot_rows_total = sum(r["__rows"] for r in hot_list)
-    key_schema = sizes.select(*keys).schema
-    hot_keys = F.broadcast(df.sparkSession.createDataFrame(
-        [tuple(r[k] for k in keys) for r in hot_list], key_schema))  # at most max_hot_keys rows
-    cold_part = windowed_index(df.join(hot_keys, on=keys, how="left_anti"), keys, order_by, out)
-    hot_part = ranged_index(df.join(hot_keys, on=keys, how="left_semi"), keys, order_by, out,
-                            math.ceil(hot_rows_total / rows_per_task))
-    return cold_part.unionByName(hot_part)
+    keys, order = list(partition_by), list(order_by)
+    names = [f"__k{i}" for i in range(len(keys))]
+    bounds = group_bounds(df, keys, order[0], rows_per_bucket, sizes_from)
+    bucket = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col(order[0]))), F.lit(0))
+
+    def bucketed(frame: DataFrame, how: str) -> DataFrame:
+        joined = frame.join(bounds, _same(keys, names), how)
+        return joined.withColumn("__bucket", F.when(F.col("__bounds").isNull() | F.col(order[0]).isNull(), 0).otherwise(bucket)).drop("__bounds", *names)
+
+    per_bucket = bucketed(df.select(*keys, order[0]), "inner").groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = (per_bucket.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+              .select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__bucket").alias("__b"), "__before"))
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
+    numbered = bucketed(df, "left").withColumn("__row", F.row_number().over(inside))
+    return (numbered.join(before, _same([*keys, "__bucket"], [*names, "__b"]), "left")
+            .withColumn(out, (F.col("__row") + F.coalesce("__before", F.lit(0))).cast("int"))
+            .select(*df.columns, out))

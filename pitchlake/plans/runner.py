@@ -8,11 +8,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.operators.incremental import landed_range, run_if_new
-from pitchlake.operators.lookup_join import fits_broadcast
+from pitchlake.operators.incremental import landed_range, latest_date, missing_days, run_if_new
 from pitchlake.plans import bronze, gold, silver
-from pitchlake.schemas import PITCH_KEYS
+from pitchlake.schemas import PITCH_KEYS, PLAYER_SCHEMA
+from pitchlake.sinks.landing import land_days, landed_days, read_log
 from pitchlake.sinks.layout import Layout
+from pitchlake.sources.landing import date_range
 
 # Table names.
 BRONZE = "bronze_statcast"
@@ -22,66 +23,90 @@ SILVER = "silver_statcast_base"
 ENRICHED = "silver_statcast_enrich"
 GAMES = "gold_game_summary_stats"
 PITCHERS = "gold_pitcher_yearly"
-
-MAX_BROADCAST_GAMES = 5_000_000
-# Up to this many affected games are listed as an IN filter, which Parquet
-# turns into row-group skipping (min/max of game_pk); above it a semi join.
-MAX_LISTED_GAMES = 100_000
+# Which days hold rows of a game: (game_pk, day), so that a change of a game reads those days only.
+GAME_DAYS = "index_game_days"
+AFFECTED = "index_affected_days"
 
 
 def load_players(spark: SparkSession, layout: Layout, glob: str) -> DataFrame:
     """Register CSV -> bronze (overwrite) -> silver player names (overwrite)."""
     layout.write(PLAYERS_BRONZE, bronze.bronze_players(spark, glob))
-    layout.write(PLAYERS, silver.silver_players(layout.read(PLAYERS_BRONZE)))
+    layout.write(PLAYERS, silver.silver_players(layout.read(PLAYERS_BRONZE)), schema=PLAYER_SCHEMA)
     return layout.read(PLAYERS)
 
 
+def _game_days(rows: DataFrame, col: str) -> DataFrame:
+    return rows.select("game_pk", F.to_date(F.col(col)).alias("day")).distinct()
+
+
+def _games(enriched: DataFrame) -> DataFrame:
+    """The game summary with the season it is stored under."""
+    return gold.game_summary(enriched).withColumn("season", F.year("date"))
+
+
 def full_load(spark: SparkSession, layout: Layout, landed: DataFrame) -> None:
     """Every layer rebuilt from all landed rows (each a full overwrite)."""
     layout.write(BRONZE, bronze.bronze_pitches(landed), partition_by="game_date")
+    layout.write(GAME_DAYS, _game_days(layout.read(BRONZE), "game_date"))
     layout.write(SILVER, silver.silver_base(layout.read(BRONZE)), partition_by="date")
     layout.write(ENRICHED, silver.enrich(layout.read(SILVER), layout.read(PLAYERS)), partition_by="date")
     enriched = layout.read(ENRICHED)
-    layout.write(GAMES, gold.game_summary(enriched))
+    layout.write(GAMES, _games(enriched), partition_by="season")
     layout.write(PITCHERS, gold.pitcher_yearly(enriched), partition_by="season")
 
 
-def _games_of(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """All rows of ``table`` whose game occurs in ``rows`` (whole games, also across days)."""
-    games = rows.select("game_pk").distinct()
-    listed = games.limit(MAX_LISTED_GAMES + 1).collect()
-    if len(listed) <= MAX_LISTED_GAMES:
-        return table.filter(F.col("game_pk").isin([r[0] for r in listed]))
-    if fits_broadcast(games, MAX_BROADCAST_GAMES):
-        games = F.broadcast(games)
-    return table.join(games, on="game_pk", how="left_semi")
-
-
 def incremental_run(spark: SparkSession, layout: Layout, landed: DataFrame,
                     start: dt.date | str, end: dt.date | str) -> bool:
-    """Apply the landed rows of ``[start, end]`` to every layer by keyed upsert.
+    """Apply the landed rows of ``[start, end]`` to every layer; the tables then equal a full load.
 
     Silver numbers pitches per game and gold aggregates per game and per
-    season, so each layer recomputes whole affected games (all bronze rows
-    of a game, even from other days) and whole affected seasons.  Returns
-    False (and writes nothing) when no row landed in the range.
+    season, so the rows of all affected games (also their rows of other days)
+    are computed anew and take the place of the old ones, and so do the
+    affected seasons, before and after the change.  Only days that hold rows
+    of affected games are read (by partition).  Returns False (and writes
+    nothing) when no row landed in the range.
     """
-    from pitchlake.sources.landing import date_range
-
     new = date_range(landed, "game_date", start, end)
     rng = landed_range(new, "game_date").first()
 
     def apply(lo: dt.date, hi: dt.date) -> bool:
-        layout.upsert(BRONZE, bronze.bronze_pitches(new), PITCH_KEYS, partition_by="game_date")
-        games = _games_of(new, layout.read(BRONZE))
-        layout.upsert(SILVER, silver.silver_base(games), PITCH_KEYS, partition_by="date")
-        affected = _games_of(new, layout.read(SILVER))
-        layout.upsert(ENRICHED, silver.enrich(affected, layout.read(PLAYERS)), PITCH_KEYS, partition_by="date")
-        enriched = layout.read(ENRICHED)
-        layout.upsert(GAMES, gold.game_summary(_games_of(new, enriched)), ["game_pk"])
-        seasons = [r[0] for r in new.select(F.year(F.to_date("game_date"))).distinct().collect()]
-        layout.write(PITCHERS, gold.pitcher_yearly(enriched.filter(F.year("date").isin(*seasons))),
-                     partition_by="season", mode="dynamic")
+        games = new.select("game_pk").distinct()
+        layout.write(AFFECTED, _game_days(new, "game_date").union(
+            layout.read(GAME_DAYS).join(games, on="game_pk", how="left_semi")).distinct())
+        affected = layout.read(AFFECTED)
+        games, days = affected.select("game_pk").distinct(), affected.select("day").distinct()
+        listed = [r[0] for r in days.collect()]  # days of the calendar
+        seasons = days.select(F.year("day").alias("season")).distinct()
+
+        def whole_games(name: str, col: str) -> DataFrame:
+            table = layout.read(name)
+            return table.filter(F.col(col).isin(listed)).join(games, on="game_pk", how="left_semi")
+
+        layout.upsert(BRONZE, bronze.bronze_pitches(new), PITCH_KEYS, partition_by="game_date", old_values=days)
+        layout.replace(GAME_DAYS, _game_days(whole_games(BRONZE, "game_date"), "game_date"), games)
+        layout.replace(SILVER, silver.silver_base(whole_games(BRONZE, "game_date")), games, "date", old_values=days)
+        layout.replace(ENRICHED, silver.enrich(whole_games(SILVER, "date"), layout.read(PLAYERS)), games, "date", old_values=days)
+        layout.replace(GAMES, _games(whole_games(ENRICHED, "date")), games, "season", old_values=seasons)
+        years = sorted({d.year for d in listed})
+        of_seasons = layout.read(ENRICHED).filter(F.year("date").isin(years))
+        layout.replace(PITCHERS, gold.pitcher_yearly(of_seasons), seasons, "season", old_values=seasons)
         return True
 
     return bool(run_if_new(rng, apply))
+
+
+def ingest(spark: SparkSession, root: str, log_path: str, fetch, end: dt.date, date_col: str,  # noqa: ANN001
+           default: str | dt.date | None = None) -> DataFrame:
+    """Fetch and land the days from the high-water mark to ``end`` that are neither landed nor logged.
+
+    ``fetch(days)`` takes a frame of days and returns their rows; returns the days asked for.
+    """
+    have = landed_days(spark, root).union(read_log(spark, log_path).select("day")).distinct()
+    last = latest_date(have, "day", *([default] if default is not None else []))
+    first = have.agg(F.min("day")).first()[0] or last + dt.timedelta(days=1)
+    days = missing_days(have, min(first, last + dt.timedelta(days=1)), end, "day")
+    asked = [(r[0],) for r in days.collect()]
+    days = spark.createDataFrame(asked, "day date")
+    if asked:
+        land_days(spark, fetch(days), root, log_path, days, date_col)
+    return days

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.labels import label, resolve_sides
 from pitchlake.functions.units import convert_units
-from pitchlake.operators.lookup_join import DEFAULT_MAX_BROADCAST_ROWS, resolve_names
-from pitchlake.operators.sequence import DEFAULT_HOT_ROWS, sequence_index
+from pitchlake.operators.lookup_join import resolve_names
+from pitchlake.operators.sequence import DEFAULT_ROWS_PER_BUCKET, sequence_index
 from pitchlake.schemas import (
     GAME_TYPE_LABELS,
     LAUNCH_SPEED_ANGLE_LABELS,
@@ -59,7 +59,7 @@ def silver_projection(df: DataFrame, game_type_labels: Mapping[str, str] = GAME_
 
 
 def silver_base(df: DataFrame, game_type_labels: Mapping[str, str] = GAME_TYPE_LABELS,
-                hot_rows: int | None = DEFAULT_HOT_ROWS, index: bool = True,
+                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, index: bool = True,
                 sizes_from: DataFrame | None = None) -> DataFrame:
     """Bronze pitches -> silver pitches: filter, project, and number pitches per game.
 
@@ -67,15 +67,14 @@ def silver_base(df: DataFrame, game_type_labels: Mapping[str, str] = GAME_TYPE_L
     number.  It is numbered over the rows given, so an incremental run must
     pass whole games (see ``plans.runner``).  ``index=False`` leaves it out
     (for jobs that compute gold straight from bronze and never read it, which
-    saves the hot-game check and the shuffle by game).  ``sizes_from``: a
-    cheaper frame with ``game_pk`` for a superset of the rows, for the
-    hot-game check (see ``sequence_index``).
+    saves the count and the shuffle by game).  ``sizes_from``: a cheaper frame
+    with ``game_pk`` for a superset of the rows (see ``sequence_index``).
     """
     projected = silver_projection(competitive_only(df), game_type_labels)
     if not index:
         return projected
     return sequence_index(projected, ("game_pk",), ("at_bat_number", "pitch_number"), "idx_game_pitch",
-                          hot_rows=hot_rows, sizes_from=sizes_from)
+                          rows_per_bucket=rows_per_bucket, sizes_from=sizes_from)
 
 
 def silver_players(df: DataFrame, id_col: str = "key_mlbam", first: str = "name_first",
@@ -115,13 +114,11 @@ def scd2_columns(effective_date: Column | None = None) -> list[Column]:
     return [eff.alias("effective_date"), F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current")]
 
 
-def enrich(silver: DataFrame, players: DataFrame, keep_ids: bool = False,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def enrich(silver: DataFrame, players: DataFrame, keep_ids: bool = False) -> DataFrame:
     """Replace ``batter`` and ``pitcher`` ids by player names (left joins; fielders stay ids).
 
     Only current register rows are used.
     """
     current = players.filter(F.col("is_current")) if "is_current" in players.columns else players
     return resolve_names(silver, current, {"batter": "batter", "pitcher": "pitcher"}, keep_ids=keep_ids,
-                         max_broadcast_rows=max_broadcast_rows,
                          spread_on=("game_pk", "at_bat_number", "pitch_number"))

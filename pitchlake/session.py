@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC clock, ANSI arithmetic, AQE.
@@ -40,7 +41,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    submitted = SparkConf()  # what the submitter set; its JVM options are kept
     for k, v in SESSION_CONF.items():
+        if k.endswith("extraJavaOptions") and submitted.get(k, None):
+            v = f"{submitted.get(k)} {v}"
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

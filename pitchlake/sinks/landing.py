@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.sources.landing import PARTITION_COLUMNS
+from pitchlake.sinks.layout import path_exists
+from pitchlake.sources.landing import PARTITION_COLUMNS, day_folders, partition_date, read_landing
 
 INGEST_LOG_SCHEMA = T.StructType([
     T.StructField("day", T.DateType(), False),
@@ -59,22 +60,26 @@ def log_days(spark: SparkSession, log_path: str, days: DataFrame, day_col: str =
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     """The ingest log; empty when nothing was logged yet."""
-    try:
-        return spark.read.schema(INGEST_LOG_SCHEMA).parquet(log_path)
-    except Exception:  # noqa: BLE001 - a missing path means an empty log
+    if not path_exists(spark, log_path):
         return spark.createDataFrame([], INGEST_LOG_SCHEMA)
+    return spark.read.schema(INGEST_LOG_SCHEMA).parquet(log_path)
+
+
+def landed_days(spark: SparkSession, root: str) -> DataFrame:
+    """The days of a landing tree, column ``day``, from its folder names: no file is opened."""
+    return spark.createDataFrame([(d,) for d, _ in day_folders(spark, root)], "day date")
 
 
 def land_days(spark: SparkSession, rows: DataFrame, root: str, log_path: str, days: DataFrame,
               date_col: str, day_col: str = "day") -> None:
-    """Land fetched rows and log the requested days that brought none.
+    """Land fetched rows and log every requested day with its row count.
 
     ``rows`` holds what was fetched for the requested ``days``: their days are
-    replaced in the landing tree (dynamic overwrite), and requested days
-    without a row are appended to the ingest log with ``n_rows = 0`` so that
-    ``missing_days`` does not ask for them again.
+    replaced in the landing tree (dynamic overwrite).  A requested day without
+    a row is logged with ``n_rows = 0``, so that ``missing_days`` does not ask
+    for it again.
     """
     write_landing(rows, root, date_col, mode="dynamic")
-    got = rows.select(F.to_date(F.col(date_col)).alias("day")).distinct()
-    empty = days.select(F.to_date(F.col(day_col)).alias("day")).distinct().join(got, on="day", how="left_anti")
-    log_days(spark, log_path, empty)
+    wanted = days.select(F.to_date(F.col(day_col)).alias("day")).distinct()
+    got = read_landing(spark, root, rows.schema).groupBy(partition_date().alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+    log_days(spark, log_path, wanted.join(got, on="day", how="left").fillna(0, ["n_rows"]), n_rows_col="n_rows")

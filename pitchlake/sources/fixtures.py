@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 PITCH_VIEW_COLUMNS: tuple[str, ...] = (
     "o.o_orderkey AS game_pk",
     "CAST(o.o_orderdate AS DATE) AS game_date",
-    "CASE substr(o.o_orderpriority,1,1) WHEN '1' THEN 'R' WHEN '2' THEN 'W' WHEN '3' THEN 'D' WHEN '4' THEN 'L' ELSE 'S' END AS game_type",
+    "CASE WHEN o.o_orderkey % 41 = 0 THEN 'F' WHEN o.o_orderkey % 43 = 0 THEN 'E' WHEN o.o_orderkey % 47 = 0 THEN NULL ELSE"
+    " CASE substr(o.o_orderpriority,1,1) WHEN '1' THEN 'R' WHEN '2' THEN 'W' WHEN '3' THEN 'D' WHEN '4' THEN 'L' ELSE 'S' END END AS game_type",
     "h.n_name AS home_team",
     "a.n_name AS away_team",
-    "CASE WHEN l.l_linenumber % 2 = 1 THEN 'Top' ELSE 'Bot' END AS inning_topbot",
+    "CASE WHEN l.l_partkey % 53 = 0 THEN 'Mid' WHEN l.l_linenumber % 2 = 1 THEN 'Top' ELSE 'Bot' END AS inning_topbot",
     "l.l_partkey*10000 + l.l_suppkey AS at_bat_number",
     "l.l_linenumber AS pitch_number",
     "l.l_partkey AS batter",
@@ -100,7 +101,8 @@ PITCH_VIEW_FROM = (
 LOOKUP_VIEW_SQL = (
     "SELECT CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS key_mlbam, "
     "concat(' ',split_part(p_name,' ',1)) AS name_first, split_part(p_name,' ',2) AS name_last FROM part\n"
-    "UNION ALL SELECT CAST(10000000 + s_suppkey AS VARCHAR), NULL, concat(s_name,' ') FROM supplier"
+    "UNION ALL SELECT CAST(10000000 + s_suppkey AS VARCHAR), NULL, concat(s_name,' ') FROM supplier\n"
+    "UNION ALL SELECT CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 40 = 1 THEN p_brand END, NULL FROM part WHERE p_partkey % 20 = 1"
 )
 
 
@@ -131,23 +133,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores over all cores.
-
-    A Parquet file with one row group is read by one task, and the broadcast
-    joins after it stay in that task.  The rows are hash-partitioned by
-    ``keys`` (the game key downstream), so later windows and aggregations by
-    game find the partitioning in place instead of shuffling wide rows.
-    Fewer splits than cores means less than cores × split size of input (a
-    few GB at most), so this shuffle is small; any larger input already has
-    enough splits and is returned unchanged.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
-    return df
-
-
 def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pitch rows (landing shape, without y/m/d) from the driver tables.
 
@@ -156,7 +141,7 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured sizes, sort-merge for lineitem ⋈ orders.
     """
     t = lambda n: read_table(spark, sf_dir, n)
-    l, o, c, h, a, p = (spread_small_input(t("lineitem"), "l_orderkey").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
+    l, o, c, h, a, p = (t("lineitem").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
                         t("nation").alias("h"), t("nation").alias("a"), t("part").alias("p"))
     joined = (
         l.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
@@ -188,4 +173,8 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("name_first"),
         F.concat(F.col("s_name"), F.lit(" ")).alias("name_last"),
     )
-    return people.unionByName(vendors)
+    # Ids that occur twice, some of them without any name.
+    again = part.filter(F.col("p_partkey") % 20 == 1).select(
+        F.col("p_partkey").cast("string").alias("key_mlbam"),
+        F.when(F.col("p_partkey") % 40 == 1, F.col("p_brand")).alias("name_first"), F.lit(None).cast("string").alias("name_last"))
+    return people.unionByName(vendors).unionByName(again)

@@ -9,11 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.schemas import LANDING_PARTITION_SCHEMA
+from pitchlake.sinks.layout import list_folders
 
 PARTITION_COLUMNS: tuple[str, ...] = ("y", "m", "d")
 DateLike = str | dt.date
 
 
+def day_folders(spark: SparkSession, root: str, start: DateLike | None = None,
+                end: DateLike | None = None) -> list[tuple[dt.date, str]]:
+    """(day, path) of every day folder of ``[start, end]``, in order.  Only years and months of the range are listed."""
+    lo, hi = (dt.date.fromisoformat(str(x)[:10]) if x is not None else None for x in (start, end))
+
+    def inside(*parts: int) -> bool:
+        def cut(x: dt.date) -> tuple[int, ...]:
+            return (x.year, x.month, x.day)[:len(parts)]
+        return (lo is None or parts >= cut(lo)) and (hi is None or parts <= cut(hi))
+
+    def below(path: str, letter: str) -> list[tuple[int, str]]:
+        names = [n for n in list_folders(spark, path) if n.startswith(f"{letter}=") and n[2:].isdigit()]
+        return [(int(n[2:]), f"{path}/{n}") for n in names]
+
+    found = [(dt.date(y, m, d), day) for y, year in below(root.rstrip("/"), "y") if inside(y)
+             for m, month in below(year, "m") if inside(y, m) for d, day in below(month, "d") if inside(y, m, d)]
+    return sorted(found)
+
+
 def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = None,
                  start: DateLike | None = None, end: DateLike | None = None,
                  date_col: str | None = None) -> DataFrame:
@@ -22,17 +42,22 @@ def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = N
     Partition inference would turn ``m=03`` into 3 (and a write-back would
     create ``m=3`` beside ``m=03``), so the partition columns are declared as
     strings.  Without ``schema`` the data columns come from the Parquet
-    footers.  With ``start``/``end`` the scan is restricted to those days by a
-    predicate on the partition columns (directory pruning) and, when
-    ``date_col`` is given, on the date column as well.
+    footers of all days.  With ``start``/``end`` only the day folders of the range
+    are given to the scan and, when ``date_col`` is given, the date column is
+    filtered as well.  A range without a landed day gives no rows.
     """
+    paths = [root]
+    if start is not None or end is not None:
+        paths = [p for _, p in day_folders(spark, root, start, end)]
     if schema is None:
-        inferred = spark.read.option("basePath", root).parquet(root).schema
+        inferred = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*(paths or [root])).schema
         schema = T.StructType([f for f in inferred.fields if f.name not in PARTITION_COLUMNS])
     data_fields = [f for f in schema.fields if f.name not in PARTITION_COLUMNS]
     full = T.StructType(data_fields + list(LANDING_PARTITION_SCHEMA.fields))
-    df = spark.read.schema(full).option("basePath", root).parquet(root)
-    if start is not None or end is not None:
+    if not paths:
+        return spark.createDataFrame([], full)
+    df = spark.read.schema(full).option("basePath", root).parquet(*paths)
+    if date_col is not None:
         df = date_range(df, date_col, start, end)
     return df
 
@@ -59,8 +84,8 @@ def date_range(df: DataFrame, col: str | None, start: DateLike | None, end: Date
 
     The column is compared as a date (a timestamp late on ``end`` is kept).
     When the frame has landing partition columns the same range is applied
-    to them too, which turns into a partition filter (no directory outside
-    the range is listed or opened).
+    to them too, which turns into a partition filter: no file outside the range
+    is opened (the folders were listed when the frame was made).
     """
     if start is None and end is None:
         return df

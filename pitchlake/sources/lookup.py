@@ -31,6 +31,3 @@ def write_lookup_csv(df: DataFrame, path: str) -> None:
     """Write a register as CSV with a header, whitespace kept as is."""
     (df.write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-
-
-DEFAULT_SCHEMA = LOOKUP_SCHEMA

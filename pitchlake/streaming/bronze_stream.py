@@ -33,8 +33,13 @@ def newest_per_key(batch: DataFrame, keys: Sequence[str], order_col: str = "__fi
 
 def stream_bronze(spark: SparkSession, landing_root: str, data_schema: T.StructType, layout: Layout,
                   table: str, keys: Sequence[str], checkpoint: str, partition_by: str | None = None,
-                  audit_col: str | None = "processed_timestamp", max_files_per_trigger: int | None = None) -> None:
-    """Run the landing -> bronze stream until everything landed so far is processed."""
+                  day_of: str | None = None, audit_col: str | None = "processed_timestamp", max_files_per_trigger: int | None = None) -> None:
+    """Run the landing -> bronze stream until everything landed so far is processed.
+
+    With ``partition_by`` a batch rewrites only the partitions it touches; with
+    ``day_of`` that column is derived as the day of ``day_of``.  The batch is
+    computed once (``Layout.upsert`` stages it).
+    """
     fields = [f for f in data_schema.fields if f.name not in LANDING_PARTITION_SCHEMA.fieldNames()]
     schema = T.StructType(fields + list(LANDING_PARTITION_SCHEMA.fields))
     reader = spark.readStream.schema(schema).option("basePath", landing_root)
@@ -46,6 +51,8 @@ def stream_bronze(spark: SparkSession, landing_root: str, data_schema: T.StructT
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         rows = newest_per_key(nan_to_null(batch), keys).drop("__file_time", "__file_path")
+        if day_of:
+            rows = rows.withColumn(partition_by, F.to_date(F.col(day_of)))
         if audit_col:
             rows = with_audit(rows, audit_col)
         layout.upsert(table, rows, keys, partition_by=partition_by)

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import rows
 from pitchlake.operators.lookup_join import resolve_names
 
@@ -10,15 +13,25 @@ def _frames(spark):
     return fact, dim
 
 
-def test_resolve_names_broadcast_and_shuffle_agree(spark):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_resolve_names_broadcast_and_shuffle_agree(spark, threshold):
     fact, dim = _frames(spark)
-    roles = {"batter": "batter", "pitcher": "pitcher"}
-    a = resolve_names(fact, dim, roles)
-    b = resolve_names(fact, dim, roles, max_broadcast_rows=0)
-    want = [(1, "Ten", "Twenty"), (2, "Eleven", None), (3, None, "Twenty"), (4, None, "TwentyOne")]
-    assert rows(a) == want
-    assert rows(b) == want
-    assert a.columns == ["k", "batter", "pitcher"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = rows(resolve_names(fact, dim, {"batter": "batter", "pitcher": "pitcher"}))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(1, "Ten", "Twenty"), (2, "Eleven", None), (3, None, "Twenty"), (4, None, "TwentyOne")]
+
+
+def test_null_ids_match_no_register_id(spark):
+    fact = spark.range(5000).select(F.col("id").alias("k"), F.lit(None).cast("long").alias("batter"))
+    ids = spark.range(-4097, 4097).select(F.col("id").alias("player_id"), F.lit("x").alias("player_name"))
+    dim = ids.union(spark.createDataFrame([(None, "nobody")], "player_id long, player_name string"))
+    assert resolve_names(fact, dim, {"batter": "batter"}).filter("batter IS NOT NULL").count() == 0
+    negative = spark.createDataFrame([(1, -3)], "k long, batter long")
+    assert rows(resolve_names(negative, dim, {"batter": "batter"})) == [(1, "x")]
 
 
 def test_resolve_names_keep_ids(spark):
@@ -27,9 +40,7 @@ def test_resolve_names_keep_ids(spark):
     assert out.columns == ["k", "batter", "batter_id", "pitcher"]
 
 
-def test_broadcast_only_when_small(spark):
+def test_no_strategy_is_forced_and_no_job_runs_while_planning(spark):
     fact, dim = _frames(spark)
-    hinted = resolve_names(fact, dim, {"batter": "batter"})._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in hinted
-    plain = resolve_names(fact, dim, {"batter": "batter"}, max_broadcast_rows=2)._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plain
+    plan = resolve_names(fact, dim, {"batter": "batter"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan

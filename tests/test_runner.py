@@ -42,6 +42,7 @@ def test_incremental_equals_full_load(spark, tmp_root):
         runner.load_players(spark, lay, f"{tmp_root}/people/part-*.csv")
     runner.full_load(spark, full, landed)
 
+    assert set(landed.columns) <= set(full.read(runner.BRONZE).columns) | {"y", "m", "d"}
     first = landed.filter(F.col("game_date") < F.lit(SPLIT))
     runner.full_load(spark, inc, first)
     from pitchlake.operators.incremental import latest_date
@@ -56,3 +57,21 @@ def test_incremental_equals_full_load(spark, tmp_root):
     per_game = silver.groupBy("game_pk").agg(F.count(F.lit(1)).alias("n"), F.max("idx_game_pitch").alias("m"),
                                              F.countDistinct("idx_game_pitch").alias("d"))
     assert per_game.filter("n != m OR n != d").count() == 0
+
+
+def test_games_that_change_type_or_season(spark, tmp_root):
+    from pitchlake.plans.bronze import read_bronze_source
+
+    landing = _inputs(spark, tmp_root)
+    landed = read_bronze_source(spark, landing)
+    late = F.col("game_date") >= F.lit(SPLIT)
+    changed = landed.withColumn("game_type", F.when(late & (F.col("game_pk") % 3 == 0), "S").otherwise(F.col("game_type"))).withColumn(
+        "game_date", F.when(late & (F.col("game_pk") % 5 == 0), F.date_add("game_date", 400)).otherwise(F.col("game_date")))
+    full, inc = Layout(spark, f"{tmp_root}/full"), Layout(spark, f"{tmp_root}/inc")
+    for lay in (full, inc):
+        runner.load_players(spark, lay, f"{tmp_root}/people/part-*.csv")
+    runner.full_load(spark, full, changed)
+    runner.full_load(spark, inc, landed)
+    assert runner.incremental_run(spark, inc, changed.filter(F.col("game_date") >= F.lit(SPLIT)).drop("y", "m", "d"), SPLIT, "2030-01-01")
+    for name in (runner.SILVER, runner.ENRICHED, runner.GAMES, runner.PITCHERS):
+        assert _table(full, name) == _table(inc, name), name

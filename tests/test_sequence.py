@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from pitchlake.operators.sequence import ranged_index, sequence_index, windowed_index
+from conftest import SF001, rows
+from pitchlake.operators.sequence import sequence_index, windowed_index
+from pitchlake.plans import silver
+from pitchlake.sources import fixtures
 
 
 def _frame(spark):
@@ -22,38 +25,37 @@ def test_index_is_one_to_n_per_group(spark):
     assert per == {1: (1, 6, 6), 2: (1, 6, 6), 3: (1, 6, 6), 4: (1, 100, 100)}
 
 
-def test_hot_group_path_equals_window(spark):
+@pytest.mark.parametrize("size", [1, 7, 10, 50, 1000])
+def test_buckets_number_like_the_window(spark, size):
     df = _frame(spark)
-    got = sequence_index(df, ["g"], ["ab", "pn"], "i", hot_rows=10, rows_per_task=7)
-    assert rows(got, "g", "ab", "pn", "i") == _expected(df)
+    assert rows(sequence_index(df, ["g"], ["ab", "pn"], "i", rows_per_bucket=size), "g", "ab", "pn", "i") == _expected(df)
 
 
-def test_all_hot_path_equals_window(spark):
-    df = _frame(spark)
-    got = sequence_index(df, ["g"], ["ab", "pn"], "i", hot_rows=1, max_hot_keys=2, rows_per_task=5)
-    assert rows(got, "g", "ab", "pn", "i") == _expected(df)
-
-
-def test_ranged_index_many_tasks(spark):
-    df = _frame(spark)
-    assert rows(ranged_index(df, ["g"], ["ab", "pn"], "i", 13), "g", "ab", "pn", "i") == _expected(df)
+def test_null_keys_orders_and_ties(spark):
+    data = [(None, i % 40, i) for i in range(200)] + [(1, None, i) for i in range(30)] + [(1, i, 0) for i in range(30)] + [(2, None, 1)]
+    df = spark.createDataFrame(data, "g long, ab long, pn int")
+    assert rows(sequence_index(df, ["g"], ["ab", "pn"], "i", rows_per_bucket=8), "g", "ab", "pn", "i") == _expected(df)
+    assert sequence_index(df.filter("g > 5"), ["g"], ["ab", "pn"], "i").count() == 0
 
 
 def test_sizes_from_superset(spark):
     df = _frame(spark)
     superset = df.select("g").union(spark.createDataFrame([(4,)] * 5, "g long"))
-    got = sequence_index(df, ["g"], ["ab", "pn"], "i", hot_rows=50, sizes_from=superset)
+    got = sequence_index(df, ["g"], ["ab", "pn"], "i", rows_per_bucket=50, sizes_from=superset)
     assert rows(got, "g", "ab", "pn", "i") == _expected(df)
 
 
-def test_hot_path_on_fixture_equals_plain_window(spark):
-    from conftest import SF001
-    from pitchlake.plans import silver
-    from pitchlake.sources import fixtures
+def test_two_games_of_three_million_rows_at_default_settings(spark):
+    df = spark.range(6_000_000).select((F.col("id") % 2).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("ab"), F.col("id").alias("pn"))
+    got, want = sequence_index(df, ["g"], ["ab", "pn"], "i"), windowed_index(df, ["g"], ["ab", "pn"], "i")
+    both = got.join(want.select("pn", F.col("i").alias("w")), "pn")
+    assert both.agg(F.count_if(F.col("i") == F.col("w"))).first()[0] == 6_000_000
+
 
+def test_buckets_on_fixture_equal_plain_window(spark):
     p = fixtures.pitches(spark, SF001)  # pitch keys are unique at sf0.01
     keys = ["game_pk", "at_bat_number", "pitch_number", "idx_game_pitch"]
-    forced = silver.silver_base(p, hot_rows=5).select(*keys)   # every game above 5 pitches is "hot"
-    plain = silver.silver_base(p, hot_rows=None).select(*keys)
+    forced = silver.silver_base(p, rows_per_bucket=2).select(*keys)
+    plain = windowed_index(silver.silver_base(p, index=False), ["game_pk"], ["at_bat_number", "pitch_number"], "idx_game_pitch").select(*keys)
     assert forced.count() == plain.count()
     assert forced.exceptAll(plain).count() == 0

@@ -37,3 +37,22 @@ def stack_sides(df: DataFrame, sides: Mapping[str, str], measures: Mapping[str,
     rows = [{out_key: F.col(key_col), **{m: F.col(f"{prefix}_{suffix}") for m, suffix in measures.items()}}
             for prefix, key_col in sides.items()]
     return stack(df, rows, keep)
+
+
+def side_difference(measure: str, sides: Sequence[str] = ("home", "away")) -> Column:
+    """``<first side>_<measure> - <second side>_<measure>``."""
+    first, second = (F.col(f"{side}_{measure}") for side in sides)
+    return first - second
+
+
+def of_named_side(named_by: str, measure: str, sides: Mapping[str, str]) -> Column:
+    """The measure of the side whose key equals the column ``named_by``.
+
+    ``sides`` maps side prefix -> key column.  The last side also stands for a
+    name that is no side's key (a tie) or NULL.
+    """
+    *others, last = sides
+    out = F.col(f"{last}_{measure}")
+    for side in reversed(others):
+        out = F.when(F.col(named_by) == F.col(sides[side]), F.col(f"{side}_{measure}")).otherwise(out)
+    return out

@@ -137,11 +137,14 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pitch rows (landing shape, without y/m/d) from the driver tables.
 
     Plain inner equi-joins; Catalyst prunes every table to the columns the
-    projection uses and AQE picks broadcast for the small dimensions from
-    measured sizes, sort-merge for lineitem ⋈ orders.
+    projection uses and picks broadcasts for small dimensions.  The narrow line
+    items are dealt by the game key first, at every size, so that the joins run
+    in parallel however few row groups there are, and windows and aggregates by
+    game find their rows together instead of shuffling wide ones.
     """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = lambda n: read_table(spark, sf_dir, n)
-    l, o, c, h, a, p = (t("lineitem").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
+    l, o, c, h, a, p = (t("lineitem").repartition(parts, "l_orderkey").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
                         t("nation").alias("h"), t("nation").alias("a"), t("part").alias("p"))
     joined = (
         l.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.session import scratch_path
+from pitchlake.sinks.layout import delete_path
 
 # ASCII white space, and the words between it (Java regular expressions).
 SPACE = r"[\x20\x09-\x0D]+"
@@ -28,7 +29,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing reads any more."""
+    delete_path(table.sparkSession, table._written_to)
 
 
 def release(spark: SparkSession) -> None:

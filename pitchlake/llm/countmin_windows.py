@@ -9,10 +9,15 @@
    which gives the first document of each, and every later document learns which
    of its windows to remove.
 
-The merged sketch has a fixed size (``ROWS`` x 2^``BITS`` bits), whatever the
-corpus; when it fills up, more windows are grouped exactly and the result stays
-the same.  Hot windows are combined before the shuffle, and the join back has
-one row per window on its side, so that the other side can be split.
+The merged sketch has at most ``ROWS`` x 2^``BITS`` bits, whatever the corpus;
+when it fills up, more windows are grouped exactly and the result stays the same.
+Hot windows are combined before the shuffle, and the join back has one row per
+window on its side, so that the other side can be split.
+
+Documents whose words are all those of an earlier document, in order, lose every
+word and are no first document of any window.  They are found by their hashes in
+step 1; a bitmap of fixed size tells step 2 to skip them.  Its bits are cleared
+where any other document has the same bit, so it never names a wrong one.
 """
 
 from __future__ import annotations
@@ -26,11 +31,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import Words, release, text_chunks, written
+from pitchlake.llm.common import Words, byte_values, discard, mix, prefix_hash, range_hash, release, text_chunks, written
 
 WINDOW = 13
-# The sketch: rows of 2^BITS counters; blocks of 2^BLOCK counters travel together.
-ROWS, BITS, BLOCK = 2, 28, 21
+# The sketch: rows of at most 2^BITS counters, in blocks of 2^BLOCK that travel together; bits of the bitmap of copies.
+ROWS, BITS, BLOCK, COPY_BITS = 2, 28, 20, 24
 # Distinct hashes that a task holds before it sends its counters.
 TASK_HASHES = 1 << 22
 
@@ -64,8 +69,24 @@ def _unpack(x: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(4, -1).T).reshape(-1).view("<u4"), dtype=np.int64)
 
 
-def partial_sketches(docs: DataFrame, text: str, window: int, rows: int, bits: int) -> DataFrame:
-    """(row, block, once, more): the counters of a block that a task found touched once, and more often."""
+def sequence_hashes(words: Words) -> np.ndarray:
+    """A row of two 64-bit hashes per text: of its words in order."""
+    out = np.zeros((len(words.count), 2), dtype=np.uint64)
+    for seed in (1, 2):
+        each = range_hash(prefix_hash(byte_values(words.data, seed)), words.start, words.end)
+        each = prefix_hash(mix(each + (words.end - words.start).astype(np.uint64)))
+        out[:, seed - 1] = range_hash(each, words.first, words.first + words.count) + words.count.astype(np.uint64)
+    return out
+
+
+def copy_bits(keys: np.ndarray) -> np.ndarray:
+    """The bit of each key in the bitmap of copies; rows of one key share it."""
+    return (mix(keys.astype(np.int64).view(np.uint64)) >> np.uint64(64 - COPY_BITS)).astype(np.int64)
+
+
+def partial_sketches(docs: DataFrame, key: str, text: str, window: int, rows: int, bits: int) -> DataFrame:
+    """(row, block, once, more): the counters of a block that a task found touched once, and more often; and a
+    row per document that has a key: key, s1, s2 (its sequence hashes) and bit."""
 
     def counters(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
         for row in range(rows):
@@ -76,15 +97,21 @@ def partial_sketches(docs: DataFrame, text: str, window: int, rows: int, bits: i
             for part in np.split(np.arange(len(value)), np.flatnonzero(np.diff(block)) + 1):
                 low = value[part] & np.uint32((1 << BLOCK) - 1)
                 again = count[part] > 1
-                yield pa.RecordBatch.from_pydict({"row": pa.array([row], pa.int32()), "block": pa.array([int(block[part[0]])], pa.int32()),
-                                                  "once": pa.array([_pack(low[~again])], pa.binary()),
-                                                  "more": pa.array([_pack(low[again])], pa.binary())})
+                yield pa.RecordBatch.from_pylist([{"row": row, "block": int(block[part[0]]), "once": _pack(low[~again]),
+                                                   "more": _pack(low[again])}], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for _, texts in text_chunks(batch.column(0), _BLANKS):
-                held.append(distinct_windows(Words(texts), window)[1])
+            for first, texts in text_chunks(batch.column(1), _BLANKS):
+                words = Words(texts)
+                own = batch.column(0)[first:first + len(texts)]
+                named = np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False))
+                if len(named):
+                    s, k = sequence_hashes(words)[named], own.take(pa.array(named)).to_numpy()
+                    nulls = [pa.nulls(len(k), f.type) for f in schema][:4]
+                    yield pa.RecordBatch.from_arrays([*nulls, *map(pa.array, (k, s[:, 0].view(np.int64), s[:, 1].view(np.int64), copy_bits(k)))], schema=schema)
+                held.append(distinct_windows(words, window)[1])
                 size += len(held[-1])
                 if size >= TASK_HASHES:
                     yield from counters(np.concatenate(held))
@@ -92,7 +119,23 @@ def partial_sketches(docs: DataFrame, text: str, window: int, rows: int, bits: i
         if size:
             yield from counters(np.concatenate(held))
 
-    return docs.select(text).mapInArrow(run, "row int, block int, once binary, more binary")
+    schema = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("once", pa.binary()), ("more", pa.binary()),
+                        ("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bit", pa.int64())])
+    return docs.select(F.col(key).cast("long"), text).mapInArrow(
+        run, "row int, block int, once binary, more binary, key long, s1 long, s2 long, bit long")
+
+
+def copies_bitmap(partial: DataFrame) -> np.ndarray:
+    """The bitmap of copies: 2^COPY_BITS bits at the driver, set where all documents of a bit are copies."""
+    seen = partial.filter(F.col("bit").isNotNull()).select("key", "s1", "s2", "bit")
+    first = seen.groupBy("s1", "s2").agg(F.min("key").alias("first"))
+    only = (seen.join(first, ["s1", "s2"]).groupBy("bit").agg(F.min((F.col("key") > F.col("first")).cast("int")).alias("copy"))
+            .filter("copy = 1"))
+    packed = only.groupBy((F.col("bit") / 65536).cast("int").alias("b")).agg(F.collect_list((F.col("bit") % 65536).cast("int")).alias("x"))
+    out = np.zeros(1 << COPY_BITS, dtype=bool)
+    for r in packed.toLocalIterator():
+        out[(r["b"] << 16) + np.array(r["x"], dtype=np.int64)] = True
+    return np.packbits(out)
 
 
 def merged_sketch(partial: DataFrame) -> DataFrame:
@@ -119,47 +162,53 @@ def merged_sketch(partial: DataFrame) -> DataFrame:
         if now is not None:
             yield done()
 
-    return partial.repartition("row", "block").sortWithinPartitions("row", "block").mapInArrow(run, "row int, block int, bits binary")
+    touched = partial.filter(F.col("row").isNotNull()).select("row", "block", "once", "more")
+    return touched.repartition("row", "block").sortWithinPartitions("row", "block").mapInArrow(run, "row int, block int, bits binary")
 
 
 def repeated_windows(docs: DataFrame, sketch, key: str, text: str, window: int, rows: int, bits: int) -> DataFrame:  # noqa: ANN001
-    """(key, hash, n_words, kept_sha256): a row per distinct window that the sketch lets pass, and one
-    without a hash per document, with the digest of all its words."""
+    """(key, hash, n_words, copy, kept_sha256): a row per distinct window that the sketch lets pass, and one without
+    a hash per document, with the digest of all its words and whether it is a copy (of which no window is listed).
+
+    ``sketch`` is a broadcast of (blocks by row and number, bitmap of copies).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, copies = sketch.value
         tables = {}
-        for (row, block), data in sketch.value.items():
+        for (row, block), data in blocks.items():
             if row not in tables:
                 tables[row] = np.zeros(1 << (bits - 3), dtype=np.uint8)
             tables[row][block << (BLOCK - 3):(block + 1) << (BLOCK - 3)] = np.frombuffer(data, dtype=np.uint8)
 
-        def passes(h: np.ndarray) -> np.ndarray:
-            keep = np.arange(len(h))
+        def bit(table: np.ndarray, s: np.ndarray) -> np.ndarray:
+            s = s.astype(np.int64)
+            return (table[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & np.uint8(1) == 1
+
+        def passes(h: np.ndarray, keep: np.ndarray) -> np.ndarray:
             for row in range(rows):
-                if row not in tables:
-                    return keep[:0]
-                s = slots(h[keep], row, bits)
-                byte = tables[row][s >> np.uint64(3)]
-                keep = keep[(byte >> (np.uint8(7) - (s & np.uint64(7)).astype(np.uint8))) & np.uint8(1) == 1]
+                keep = keep[bit(tables[row], slots(h[keep], row, bits))] if row in tables else keep[:0]
             return keep
 
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False) if not batch.column(0).null_count else None
             for first, texts in text_chunks(batch.column(1), _BLANKS):
                 words = Words(texts)
+                own = batch.column(0)[first:first + len(texts)]
+                named = own.is_valid().to_numpy(zero_copy_only=False)
+                k = own.fill_null(0).to_numpy()
+                copy = named & bit(copies, copy_bits(k))
                 of, h = distinct_windows(words, window)
-                keep = passes(h)
+                keep = passes(h, np.flatnonzero((named & ~copy)[of]))
                 digests = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts]
-                own = pa.array(batch.column(0)[first:first + len(texts)], pa.int64())
-                named = keep if keys is not None else keep[[k.is_valid for k in own.take(pa.array(of[keep]))]] if len(keep) else keep
                 yield pa.RecordBatch.from_arrays([
-                    pa.concat_arrays([own, own.take(pa.array(of[named], pa.int64()))]),
-                    pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(h[named].view(np.int64), pa.int64())]),
-                    pa.concat_arrays([pa.array(words.count, pa.int64()), pa.nulls(len(named), pa.int64())]),
-                    pa.concat_arrays([pa.array(digests, pa.string()), pa.nulls(len(named), pa.string())])],
-                    names=["key", "hash", "n_words", "kept_sha256"])
+                    pa.concat_arrays([own, own.take(pa.array(of[keep], pa.int64()))]),
+                    pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(h[keep].view(np.int64), pa.int64())]),
+                    pa.concat_arrays([pa.array(words.count, pa.int64()), pa.nulls(len(keep), pa.int64())]),
+                    pa.concat_arrays([pa.array(copy), pa.nulls(len(keep), pa.bool_())]),
+                    pa.concat_arrays([pa.array(digests, pa.string()), pa.nulls(len(keep), pa.string())])],
+                    names=["key", "hash", "n_words", "copy", "kept_sha256"])
 
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(run, "key long, hash long, n_words long, kept_sha256 string")
+    return docs.select(F.col(key).cast("long"), text).mapInArrow(run, "key long, hash long, n_words long, copy boolean, kept_sha256 string")
 
 
 def remove_windows(joined: DataFrame, window: int) -> DataFrame:
@@ -189,28 +238,46 @@ def remove_windows(joined: DataFrame, window: int) -> DataFrame:
     return joined.mapInArrow(run, "key long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, rows: int = ROWS, bits: int = BITS) -> DataFrame:
-    """Per document: key, n_words, n_removed, kept_sha256 and kept_text (null where nothing was removed).
+def sketch_bits(docs: DataFrame, text: str, most: int = BITS) -> int:
+    """Counters in a row, as a power of two: about two per window, as far as ``most`` allows."""
+    chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    return max(BLOCK, min(most, (chars // 3).bit_length()))
+
+
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, rows: int = ROWS, bits: int | None = None) -> DataFrame:
+    """Per document: key, n_words, n_removed, kept_sha256 and kept_text (null where nothing or everything was removed).
 
     A word goes if some window of ``window`` words that covers it also starts in
     a document with a smaller key.  Null and empty texts have no words; texts
     shorter than a window lose none.  Documents without a key neither lose words
     nor cost others any.  Rows that repeat a key are judged alike and all kept;
-    an empty table gives no rows.  Windows are compared by 64-bit hashes.
+    an empty table gives no rows.  Windows are compared by 64-bit hashes, whole
+    documents by 128 bits.
     """
     spark = docs.sparkSession
-    blocks = merged_sketch(partial_sketches(docs, text, window, rows, bits))
+    bits = sketch_bits(docs, text) if bits is None else bits
+    partial = written(partial_sketches(docs, key, text, window, rows, bits), "countmin-partial")
     # At most rows * 2^bits bits, whatever the corpus.
-    sketch = spark.sparkContext.broadcast({(r["row"], r["block"]): bytes(r["bits"]) for r in blocks.toLocalIterator()})
+    blocks = {(r["row"], r["block"]): bytes(r["bits"]) for r in merged_sketch(partial).toLocalIterator()}
+    sketch = spark.sparkContext.broadcast((blocks, copies_bitmap(partial)))
+    del blocks
+    discard(partial)
     release(spark)
     seen = written(repeated_windows(docs, sketch, key, text, window, rows, bits), "countmin-windows")
+    sketch.unpersist()
     windows = seen.filter(F.col("hash").isNotNull()).select("key", "hash")
     first = windows.groupBy("hash").agg(F.min("key").alias("first"))
     later = windows.join(first, "hash").filter(F.col("key") > F.col("first")).select("key", "hash")
     lost = written(later.groupBy("key").agg(F.collect_set("hash").alias("hashes")), "countmin-lost")
+    digests = written(seen.filter(F.col("hash").isNull()).drop("hash"), "countmin-digests")
+    discard(seen)
     release(spark)
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     cut = remove_windows(texts.join(lost, "key").select("key", "text", "hashes"), window)
-    whole = (seen.filter(F.col("hash").isNull()).join(lost.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_anti")
-             .select("key", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text")))
+    # A copy has the words of an earlier document and loses all, if they make a window.
+    all_gone = F.col("copy") & (F.col("n_words") >= window)
+    whole = (digests.join(lost.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_anti")
+             .select("key", "n_words", F.when(all_gone, F.col("n_words")).otherwise(0).alias("n_removed"),
+                     F.when(all_gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
+                     F.lit(None).cast("string").alias("kept_text")))
     return cut.union(whole)

@@ -23,7 +23,7 @@ def odd_texts():
     near[100] = "changed"
     texts = [(1, a), (2, a), (2, a), (3, None), (4, ""), (5, " \n\t "), (6, "one"), (7, "one two"), (8, "One Two"), (None, a), (None, None),
              (9, b), (10, " ".join(near)), (11, prose(rng, 50) + "\n" + shared + "\n" + prose(rng, 40)),
-             (12, prose(rng, 30) + " " + shared), (13, "spam " * 400), (14, "x" * 1500), (15, long),
+             (12, prose(rng, 30) + " " + shared), (12, a), (30, "own words " + prose(rng, 30) + " " + shared), (30, b), (13, "spam " * 400), (14, "x" * 1500), (15, long),
              (16, "prefix " + long[:20000]), (17, "ÀÉ ñandú 漢字 😀 " * 30), (18, "a%%% b### c$$$ d&&& e*** " * 20), (19, "line one here\n" * 40),
              (20, "Licensed under CC BY-NC 4.0. All Rights Reserved.\nGNU General Public License text"), (21, "all rights\nreserved"),
              (22, "tab\tsep\x0bwords\x0c here\r\n" * 5), (23, "\0nul \x1c sep \x85 next \u00a0 nbsp"), (24, "'ll it's  double  blanks \n\n x " * 9)]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from pitchlake.llm.common import byte_values, mix, powers, prefix_hash, range_hash, release, text_chunks, written
+from pitchlake.llm.common import byte_values, discard, mix, powers, prefix_hash, range_hash, release, text_chunks, written
 
 WINDOW, GRAM = 200, 16
 # Bytes of contexts in one suffix array, and different contexts of a key above which it is dealt out again.
@@ -374,13 +374,19 @@ def cut(joined: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, seen: DataFrame, key: str, text: str, wide: int = WIDE) -> DataFrame:
-    """(key, th, runs): the starts of repeated windows of each document that has any, as runs (lo, n)."""
+    """(key, th, runs): the starts of repeated windows of each document that has any, as runs (lo, n).
+
+    ``seen`` is the written table of ``find_contexts`` and is deleted once read.
+    """
     records = seen.filter(F.col("part").isNotNull()).drop("sha")
     twice = records.groupBy("part").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("part")
     hits = written(records.join(twice, "part"), "suffix-candidates")
+    discard(seen)
     release(docs.sparkSession)
     repeated, mixed, broad = classify(hits, [], wide)
     found = [written(repeated, "suffix-repeated")]
+    discard(hits)
+    release(docs.sparkSession)
     fetched = written(fetch(docs, mixed, key, text), "suffix-bytes")
     release(docs.sparkSession)
     found.append(written(shard_repeats(fetched), "suffix-shards"))
@@ -420,13 +426,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wide: int =
     rows.  Kept bytes may end inside a character.
     """
     seen = written(find_contexts(docs, key, text), "suffix-records")
+    digests = written(seen.filter(F.col("sha").isNotNull()).select("key", "th", "lo", "sha"), "suffix-digests")
     lost = repeated_runs(docs, seen, key, text, wide).select(F.col("key").alias("k"), F.col("th").alias("h"), "runs")
     release(docs.sparkSession)
     same = F.col("key").eqNullSafe(F.col("k")) & (F.col("th") == F.col("h"))
     texts = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"),
                         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
     gone = cut(texts.join(lost, same).select("key", "bytes", "runs"))
-    whole = (seen.filter(F.col("sha").isNotNull()).join(lost.select("k", "h"), same, "left_anti")
+    whole = (digests.join(lost.select("k", "h"), same, "left_anti")
              .select("key", F.col("lo").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
                      F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept_bytes")))
     return gone.union(whole)

@@ -40,7 +40,7 @@ def main() -> None:
     # Local mode runs every task in the driver JVM, so its heap is the executor memory
     # (the 1 GB default makes the wide silver sort spend its time in GC).
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="pitchlake-bench",
-                        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

@@ -137,8 +137,9 @@ def kasai(data: np.ndarray, order: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Common prefix of each suffix of ``order`` with the one before it, within their contexts (``end`` by place).
 
     As Kasai's method goes in text order and loses at most one byte a step: where
-    suffix i follows i' in the order and i-1 followed i'-1, their common prefix is
-    one less; all other suffixes are compared, eight bytes at a time, together.
+    suffix i follows i' in the order and i-1 followed i'-1 with at least one byte in
+    common, their common prefix is one less; all other suffixes are compared, eight
+    bytes at a time, together.  (Nothing in common before says nothing of the next.)
     """
     n = len(data)
     before = np.full(n, -1, dtype=np.int64)
@@ -146,6 +147,7 @@ def kasai(data: np.ndarray, order: np.ndarray, end: np.ndarray) -> np.ndarray:
     chain = np.zeros(n, dtype=bool)
     chain[1:] = (before[1:] >= 0) & (before[:-1] >= 0) & (before[1:] == before[:-1] + 1) & (end[1:] == end[:-1])
     chain[1:] &= np.where(before[1:] >= 0, end[np.maximum(before[1:], 0)] == end[np.maximum(before[:-1], 0)], False)
+    chain[1:] &= data[:-1] == data[np.maximum(before[:-1], 0)]
     common = np.zeros(n, dtype=np.int64)
     heads = np.flatnonzero((before >= 0) & ~chain)
     padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
@@ -166,7 +168,7 @@ def kasai(data: np.ndarray, order: np.ndarray, end: np.ndarray) -> np.ndarray:
         todo, at = todo[on], at[on] + 8
     # Chains: one less per step from their head.
     head_of = np.maximum.accumulate(np.where(chain, 0, np.arange(n)))
-    common = np.where(chain, np.maximum(common[head_of] - (np.arange(n) - head_of), 0), common)
+    common = np.where(chain, common[head_of] - (np.arange(n) - head_of), common)
     return common[order]
 
 

@@ -163,6 +163,42 @@ def test_suffix_shards_and_their_merge():
         assert got == want
 
 
+def test_suffix_shards_compare_behind_differing_bytes():
+    rng = np.random.default_rng(4)
+
+    def passage(n):
+        return rng.integers(97, 123, n).astype(np.uint8).tobytes()
+
+    w = passage(200)
+    cases = [[b"Q" + w, b"R" + w], [b"R" + w, b"Q" + w]]
+    for _ in range(20):
+        same = [passage(int(n)) for n in rng.integers(200, 260, 3)]
+        cases.append([b"".join(bytes([65 + int(rng.integers(26))]) * int(rng.integers(1, 4)) + same[int(i)] for i in rng.integers(0, 3, 4))
+                      for _ in range(6)])
+    for blobs in cases:
+        n = np.array([len(b) - 199 for b in blobs])
+        places = {}
+        for i, b in enumerate(blobs):
+            for x in range(n[i]):
+                places.setdefault(b[x:x + 200], []).append((i, x))
+        want = {x for v in places.values() if len(v) > 1 for x in v}
+        assert set(zip(*(x.tolist() for x in suffix_arrays.Shard(blobs, n).repeated()))) == want
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_repeated_bytes_behind_differing_bytes(spark, turned):
+    rng = np.random.default_rng(4)
+    texts = []
+    for first, second in zip("ACEGIKMOQSUWY", "BDFHJLNPRTVXZ"):  # next to each other in the order of all windows
+        w = rng.integers(97, 123, 200).astype(np.uint8).tobytes().decode()
+        texts += [second + w, first + w] if turned else [first + w, second + w]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = suffix_arrays.dedup(df).collect()
+    want = brute.repeated_bytes(pairs(df))
+    assert sum(n for _, _, n, _, _ in want) == 26 * 200
+    assert ordered((r["key"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == ordered(want)
+
+
 def test_documents_without_repeats_keep_rows_and_columns(odd):
     got = suffix_arrays.dedup_documents(odd)
     assert got.columns == odd.columns and got.count() == odd.count()

@@ -1,9 +1,11 @@
 """The pipeline's stages, each on its own input, against brute force; and its edge cases."""
 
+import random
+
 import brute
 import duckdb
 import pytest
-from llm_fixtures import SF0001, SF001, none, odd  # noqa: F401  (fixtures)
+from llm_fixtures import SF0001, SF001, none, odd, prose  # noqa: F401  (fixtures)
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -54,3 +56,26 @@ def test_odd_rows_and_no_rows(spark, odd, none):
             docs = written(stage(spark, docs, SF0001), "odd-stage")
         assert docs.columns[0] == "doc_id"
         assert (docs.count() > 0) == (df.count() > 0)
+
+
+def test_rows_without_an_id_and_of_one_id_are_judged_each(spark):
+    rng = random.Random(11)
+    a, b, c, d = (prose(rng, 200) for _ in range(4))
+    docs = spark.createDataFrame([(9, b), (30, b), (30, c), (None, a), (None, a), (None, c), (40, d), (None, b)], "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF0001).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(9, b), (30, c), (None, a), (40, d)]))
+
+
+def test_leaks_go_by_row(spark):
+    item = next(r["text"] for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect() if r["text"])
+    clean = [prose(random.Random(s), 60) for s in (1, 2)]
+    docs = spark.createDataFrame([(None, f"x {item} y"), (None, clean[0]), (5, f"z {item}"), (5, clean[1])], "doc_id long, text string")
+    got = corpus_pipeline.leaks(spark, docs, SF0001).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(None, clean[0]), (5, clean[1])]))
+
+
+def test_quality_keeps_columns_of_its_own_names(spark):
+    text = prose(random.Random(3), 60)
+    docs = spark.createDataFrame([(1, text, 7, "r"), (2, "few", 7, "r")], "doc_id long, text string, n_words long, rejected_by string")
+    got = corpus_pipeline.quality(spark, docs, SF0001)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(1, text, 7, "r")]

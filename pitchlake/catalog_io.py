@@ -21,7 +21,7 @@ from pitchlake.sinks.layout import Layout
 from pitchlake.sinks.upsert import merge_rows
 from pitchlake.sources import fixtures
 from pitchlake.sources.landing import read_landing
-from pitchlake.sources.local import from_local
+from pitchlake.sources.local import nan_to_null
 from pitchlake.sources.lookup import read_lookup_csv, with_source_file, write_lookup_csv
 from pitchlake.streaming.bronze_stream import stream_bronze
 
@@ -107,13 +107,12 @@ def q_skip_gate(spark, sf):
     "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value, event_type FROM events"
     " WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"))
 def q_local_roundtrip(spark, sf):
-    """One fetched day as a local frame with NaN for missing measures, as a fetch leaves it, landed and read back."""
+    """All events with NaN for missing measures, as a local fetch leaves them, landed; the last day read back."""
     events = _events(spark, sf)
     last = incremental.latest_date(events, "ts")
-    day = events.filter(F.to_date("ts") == F.lit(last)).toPandas()
-    day.loc[day["event_id"] % 5 == 0, "value"] = float("nan")
-    root = _land_events(spark, sf, from_local(spark, day, events.schema))
-    return read_landing(spark, root).select("event_id", "value", "event_type")
+    fetched = events.withColumn("value", F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+    root = _land_events(spark, sf, nan_to_null(fetched))
+    return read_landing(spark, root, start=last, end=last, date_col="ts").select("event_id", "value", "event_type")
 
 
 @register("ingest_days", (

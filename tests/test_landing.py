@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF0001, rows
+from pitchlake import catalog
 from pitchlake.operators import incremental
 from pitchlake.sinks.landing import land_days, landed_days, log_days, read_log, write_landing
 from pitchlake.sources import fixtures
@@ -85,3 +86,17 @@ def test_land_days_logs_empty_days(spark, tmp_root):
     landed = read_landing(spark, tmp_root)
     assert landed.count() == ev.count()
     assert incremental.missing_days(landed, "2024-01-01", "2024-01-06", log=read_log(spark, log_path)).count() == 1
+
+
+def test_local_roundtrip_takes_no_events_through_the_driver(spark, monkeypatch):
+    import duckdb
+
+    def refuse(*_):
+        raise AssertionError("rows pulled to the driver")
+
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", refuse)
+    got = catalog.QUERIES["local_roundtrip"](spark, SF0001)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF0001}/events.parquet')")
+    want = con.sql(catalog.ORACLES["local_roundtrip"]).fetchall()
+    assert want and sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))

@@ -1,9 +1,11 @@
-"""Token ids of whole texts by a public tokenizer, piece by piece with a cache.
-
-A text is cut where the tokenizer's own pre-tokenizer cuts it (Latin texts),
-or only at white space (others); both never join characters across these
-places, so the ids of a text are those of its pieces in a row.  Most pieces
-of a corpus repeat, and a worker encodes each once while it is in its cache.
+"""Token ids of whole texts by a public tokenizer, unit by unit with caches.
+
+A text is cut at blanks (byte-level vocabularies) or at white space (those that
+drop it) into units, where the tokenizer's own pre-tokenizer cuts it too, so the
+ids of a text are those of its units in a row.  A unit that is not in the
+worker's cache is cut further into the pre-tokenizer's pieces (Latin units),
+and only pieces that are not cached either go to the tokenizer's model.  A text
+that holds a string of an added token goes to the tokenizer as it is.
 """
 
 from __future__ import annotations
@@ -16,9 +18,12 @@ from array import array
 from pitchlake.llm.common import worker_cache
 
 # White space as the tokenizers' patterns see it (the Unicode property).
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Pieces of any text: a word with the white space before it.
-_UNITS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_SPACE = "\t-\r \x85\xa0  -     　"
+_WORDS = re.compile(f"[^{_SPACE}]+")
+# Characters that str.split() takes for white space and the patterns don't.
+_OTHER_SPLITS = re.compile("[\x1c-\x1f]")
+# A blank between white space, or between white space and the end: no cut of the pre-tokenizer.
+_INNER_BLANK = re.compile(f"[{_SPACE}] (?![^{_SPACE}])")
 # Up to here (Latin letters) the classes of characters are fixed in all Unicode versions.
 _LATIN = 0x24F
 _NOT_LATIN = re.compile(f"[^\x00-{chr(_LATIN)}]")
@@ -33,52 +38,107 @@ def _class(kind: str) -> str:
 _L, _N = _class("L"), _class("N")
 _BYTE_PIECES = re.compile(f"{_CONTRACTIONS}| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _WORD_PIECES = re.compile(f"{_CONTRACTIONS}|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+")
-# Pieces that a worker keeps; later ones are encoded each time (frequent ones come early).
-CACHE_PIECES = 600_000
+# Characters that stand for bytes in byte-level vocabularies: themselves where they print, else those from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+_BLANK = chr(_BYTE_CHARS[0x20])
+# Pieces of which at most a leading blank is written otherwise.
+_PLAIN = re.compile(" ?[!-~]+")
+# Units and pieces that a worker keeps; later ones are encoded each time (frequent ones come early).
+CACHE_UNITS, CACHE_PIECES = 500_000, 200_000
 
 
 class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit integers.
 
     ``byte_level``: True for byte-level vocabularies, False for those that lower
-    the case and drop white space.  Strings of special tokens in a text are
-    ordinary text.  Null is the empty text.
+    the case and drop white space.  Strings of added tokens in a text give the
+    ids of these tokens, as the tokenizer does by itself, or with ``plain_text``
+    those of ordinary text.  Null is the empty text.  A text is taken whole,
+    whatever its length.
     """
 
-    def __init__(self, path: str, byte_level: bool):
+    def __init__(self, path: str, byte_level: bool, plain_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.byte_level = byte_level
-        self.cache: dict[str, bytes] = {}
+        self.tokenizer.encode_special_tokens = plain_text
+        added = [] if plain_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # The tokenizer finds them in the raw or in the normalised text, so compare without case.
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.added_start = os.path.commonprefix(added)[:1]
+        self.model, self.byte_level = self.tokenizer.model, byte_level
+        self.units: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str, byte_level: bool) -> Encoder:
+    def of(cls, path: str, byte_level: bool, plain_text: bool = False) -> Encoder:
         """The worker's encoder for this vocabulary file."""
         kept = worker_cache("encoders")
-        if (path, byte_level) not in kept:
-            kept[path, byte_level] = cls(path, byte_level)
-        return kept[path, byte_level]
-
-    def pieces(self, text: str) -> list[str]:
-        if _NOT_LATIN.search(text):
-            return _UNITS.findall(text)
-        if self.byte_level:
-            return _BYTE_PIECES.findall(text)
-        return _WORD_PIECES.findall(unicodedata.normalize("NFC", text).lower())
+        if (path, byte_level, plain_text) not in kept:
+            kept[path, byte_level, plain_text] = cls(path, byte_level, plain_text)
+        return kept[path, byte_level, plain_text]
+
+    def _tokens(self, piece: str) -> bytes:
+        """The ids of one of the pre-tokenizer's pieces, by the tokenizer's model."""
+        if not _PLAIN.fullmatch(piece):
+            piece = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        elif piece[0] == " ":
+            piece = _BLANK + piece[1:]
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self._tokens(piece)
+            if len(self.pieces) < CACHE_PIECES:
+                self.pieces[piece] = ids
+        return ids
+
+    def _ids(self, text: str) -> bytes:
+        """The ids of a unit or text: of the pre-tokenizer's pieces (Latin), else by the whole tokenizer."""
+        normal = text if self.byte_level or text.isascii() else unicodedata.normalize("NFC", text)
+        if not self.byte_level:
+            normal = normal.lower()
+        if not normal.isascii() and _NOT_LATIN.search(normal):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if normal.isalpha():
+            return self._tokens(normal)
+        return b"".join(map(self._piece, (_BYTE_PIECES if self.byte_level else _WORD_PIECES).findall(normal)))
+
+    def _unit(self, unit: str) -> bytes:
+        if not self.byte_level:
+            return self._ids(unit)
+        # A blank stands before it.
+        if unit.isalpha() and (unit.isascii() or not _NOT_LATIN.search(unit)):
+            return self._tokens(" " + unit)
+        return self._ids(" " + unit)
 
     def encode(self, text: str | None) -> bytes:
-        pieces, known = self.pieces(text or ""), self.cache
+        if not text:
+            return b""
+        if self.added and self.added_start in text and self.added.search(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.byte_level:
+            if _INNER_BLANK.search(text):
+                return self._ids(text)
+            # Every unit but the first has a blank before it.
+            first, *units = text.split(" ")
+            start = self._ids(first)
+        else:
+            units = _WORDS.findall(text) if _OTHER_SPLITS.search(text) else text.split()
+            start = b""
+        known = self.units
         try:
-            return b"".join(map(known.__getitem__, pieces))
+            return start + b"".join(map(known.__getitem__, units))
         except KeyError:
             pass
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        ids = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        if len(known) < CACHE_PIECES:
-            known.update(zip(new, ids))
-            return b"".join(map(known.__getitem__, pieces))
-        found = dict(zip(new, ids))
-        return b"".join(known.get(p) or found.get(p, b"") for p in pieces)
+        found = {}
+        for u in units:
+            if u not in known and u not in found:
+                found[u] = self._unit(u)
+        if len(known) < CACHE_UNITS:
+            known.update(found)
+            return start + b"".join(map(known.__getitem__, units))
+        return start + b"".join(found[u] if u in found else known[u] for u in units)

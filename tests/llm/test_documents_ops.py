@@ -5,7 +5,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from llm_fixtures import SF0001, none, odd  # noqa: F401  (fixtures)
+from llm_fixtures import SF001, SF0001, none, odd  # noqa: F401  (fixtures)
 
 from conftest import rows
 from pitchlake.llm import (
@@ -36,12 +36,43 @@ def small(spark):
     return spark.read.parquet(f"{SF0001}/documents.parquet").cache()
 
 
-def test_ids_of_pieces_are_those_of_the_text(odd, small):
-    for name, byte_level in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+# Texts that a tokenizer could read otherwise in parts than whole.
+HARD_TEXTS = ["\u018fli Mammad", "a\u023ab", "\u0190\u0186 twi \u0190na", "abc \u0181a \u018aa", "\u0130stanbul \u0130", "<|endoftext|>", "a<|endoftext|>b <|endoftext|> ",
+              "x<|startoftext|> y", "<|ENDOFTEXT|>", "a  b   c    ", "  x  ", " \n", "a \n b\n c \n\n d", "e\u0301 \u0301 e\u0301e", "sep\x1cin\x1fside \x85 \xa0x", "it's 'll'ssa 12a3 !!'s",
+              "\u03a3\u03a3 \u1e9e", "漢字 kanji", "naïve—dash… ½²"]
+
+
+_TOKENIZERS = {}
+
+
+def plain_ids(name, text):
+    """What the tokenizers library gives for the whole text."""
+    from tokenizers import Tokenizer
+
+    if name not in _TOKENIZERS:
+        _TOKENIZERS[name] = Tokenizer.from_file(queries.vocabulary(name))
+    return np.array(_TOKENIZERS[name].encode(text or "", add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+@pytest.mark.parametrize("name,byte_level", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_ids_of_pieces_are_those_of_the_text(odd, spark, name, byte_level, monkeypatch):
+    large = [t for _, t in pairs(spark.read.parquet(f"{SF001}/documents.parquet").limit(1000))]
+    letters = [x for c in range(1, 0x250) for x in (f"{chr(c)}li Mammad", f"a{chr(c)}b {chr(c)}", f"don't {chr(c)}{chr(c)}'s ")]
+    rng = np.random.default_rng(11)
+    signs = [*"ab Z'\n \t\r.,1é", "\u0301", "\x1c", "\xa0", "\u0130", "ß", "Σ", "漢", "  ", "\n\n", "'s", "<|endoftext|>", "<|startoftext|>"]
+    mixed = ["".join(rng.choice(signs, rng.integers(0, 14))) for _ in range(4000)]
+    for most in (1 << 20, 3):  # with caches that fill up, too
+        monkeypatch.setattr(tokens, "CACHE_UNITS", most)
+        monkeypatch.setattr(tokens, "CACHE_PIECES", most)
         encoder = tokens.Encoder(queries.vocabulary(name), byte_level)
-        for _, t in pairs(odd) + pairs(small)[:60]:
-            want = encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
-            assert np.frombuffer(encoder.encode(t), dtype="<u4").tolist() == want
+        for t in [t for _, t in pairs(odd)] + HARD_TEXTS + letters + mixed + (large if most > 3 else []):
+            assert encoder.encode(t) == plain_ids(name, t), t
+
+
+def test_added_tokens_as_plain_text():
+    encoder = tokens.Encoder(queries.vocabulary("byte_bpe_50k.json"), True, plain_text=True)
+    assert 50256 not in np.frombuffer(encoder.encode("a <|endoftext|>"), dtype="<u4")
+    assert 50256 in np.frombuffer(tokens.Encoder(queries.vocabulary("byte_bpe_50k.json"), True).encode("a <|endoftext|>"), dtype="<u4")
 
 
 @pytest.mark.parametrize("mode", ["byte", "bit"])
@@ -61,10 +92,9 @@ def test_bitplane_files(spark, odd, tmp_root, block, mode):
     path, vocabulary = tmp_root, queries.vocabulary("word_bpe_49k.json")
     bitplane.write_files(bitplane.encode_blocks(odd, vocabulary, False, 2, block_ids=block, mode=mode), path)
     got = bitplane.read_documents(spark, path, block).collect()
-    encoder = tokens.Encoder(vocabulary, False)
     at, want = 0, []
     for k, t in sorted(pairs(odd), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, (x[1] or "").encode())):
-        ids = encoder.encode(t) + np.array([2], dtype="<u4").tobytes()
+        ids = plain_ids("word_bpe_49k.json", t) + np.array([2], dtype="<u4").tobytes()
         want.append((k, at, len(ids) // 4, zlib.crc32(ids)))
         at += len(ids) // 4
     assert ordered((r["key"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == ordered(want)
@@ -258,10 +288,9 @@ def test_packing(request, table):
     df = request.getfixturevalue(table)
     vocabulary = queries.vocabulary("byte_bpe_50k.json")
     got = genetic_packing.pack_documents(df, vocabulary, True, 0).collect()
-    encoder = tokens.Encoder(vocabulary, True)
     want = []
     for k, t in pairs(df):
-        ids = np.append(np.frombuffer(encoder.encode(t), dtype="<u4"), 0).astype("<u4")
+        ids = np.append(np.frombuffer(plain_ids("byte_bpe_50k.json", t), dtype="<u4"), 0).astype("<u4")
         n = len(ids)
         first = n % 2048 or min(n, 2048)
         for p, a in enumerate([0, *range(first, n, 2048)]):
@@ -291,3 +320,47 @@ def test_islands_improve_on_chance():
     assert sorted(x for b in end.bins for x in b) == list(range(300))
     assert all(sum(sizes[x] for x in b) <= 2048 for b in end.bins)
     assert len(end.bins) <= len(start.bins)
+
+
+# The registered queries that have no SQL, on their whole table.
+
+
+def test_query_of_token_files(spark, small):
+    got = queries.op1_bitplane_tokens(spark, SF0001)
+    assert got.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    at, want = 0, []
+    for k, t in sorted(pairs(small)):
+        ids = plain_ids("word_bpe_49k.json", t) + b"\2\0\0\0"
+        want.append((k, at, len(ids) // 4, zlib.crc32(ids)))
+        at += len(ids) // 4
+    assert rows(got, "doc_id", "start", "n_tokens", "ids_crc32") == want
+
+
+def test_query_of_fingerprints(spark, small):
+    got = queries.op3_simhash_pivots(spark, SF0001)
+    assert ordered(rows(got, "doc_id", "fingerprint", "component_id")) == ordered(brute.simhash_components(pairs(small)))
+
+
+def test_query_of_repeated_bytes(spark, small):
+    got = queries.op5_suffix_arrays(spark, SF0001)
+    assert rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(brute.repeated_bytes(pairs(small)))
+
+
+def test_query_of_packing(spark, small):
+    got = rows(queries.op6_genetic_packing(spark, SF0001), "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    by_doc = {}
+    for k, piece, start, length, crc, _, _ in got:
+        by_doc.setdefault(k, []).append((piece, start, length, crc))
+    for k, t in pairs(small):
+        ids = plain_ids("byte_bpe_50k.json", t) + b"\0\0\0\0"
+        parts, at = sorted(by_doc[k]), 0
+        for n, (piece, start, length, crc) in enumerate(parts):
+            assert (piece, start) == (n, at) and length == (2048 if n else length) and crc == zlib.crc32(ids[4 * at:4 * (at + length)])
+            at += length
+        assert 4 * at == len(ids) and len(parts) == -(-at // 2048)
+    places = {}
+    for _, _, _, length, _, sequence, offset in got:
+        places.setdefault(sequence, []).append((offset, length))
+    for parts in places.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(parts)])]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm import (
+    ball_tree,
     bitplane,
     chat_trees,
     containment,
     countmin_windows,
+    filter_audit,
     genetic_packing,
     license_join,
+    line_hash,
     quality_cascade,
     simhash_pivots,
     suffix_arrays,
@@ -143,6 +146,23 @@ def op9_countmin_windows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op11_ball_tree_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    found = ball_tree.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order of the five filters, by language: what each step keeps, removes and loses."""
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op13_line_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document, what is left without the lines of earlier documents."""
+    return line_hash.dedup(_table(spark, sf, "documents")).select(
+        F.col("key").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bitplane_tokens": op1_bitplane_tokens,
     "op2_chat_trees": op2_chat_trees,
@@ -154,6 +174,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_containment": op8_minhash_containment,
     "op9_countmin_windows": op9_countmin_windows,
     "op10_license_join": op10_license_join,
+    "op11_ball_tree_search": op11_ball_tree_search,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_line_hash": op13_line_hash,
 }
 
 # ---------------------------------------------------------------------------
@@ -266,6 +289,60 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT
 FROM w LEFT JOIN base USING (rid) LEFT JOIN every USING (rid) LEFT JOIN best USING (rid)"""
 
 
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_UPPER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ts FROM documents),
+q AS (SELECT row_number() OVER () AS qid, item_id, {_TERMS} AS ts FROM benchmark),
+qt AS (SELECT qid, item_id, t, count(*) AS mult FROM (SELECT qid, item_id, unnest(ts) AS t FROM q) GROUP BY ALL),
+tf AS (SELECT rid, doc_id, t, count(*) AS tf FROM (SELECT rid, doc_id, unnest(ts) AS t FROM d) GROUP BY ALL),
+total AS (SELECT count(*) FILTER (len(ts) > 0) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, total WHERE t IN (SELECT t FROM qt) GROUP BY t, n),
+m AS (SELECT rid, 100 - 75 + ((75 * CAST(len(ts) AS BIGINT) * n) // l) AS m FROM d, total),
+scored AS (SELECT qid, item_id, rid, doc_id, CAST(sum(mult * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM qt JOIN tf USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+_AUDIT_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_SPLIT} AS ws FROM documents),
+lab AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels GROUP BY doc_id),
+fl AS (SELECT rid, t.doc_id, part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+  len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+  100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+  coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), FALSE) AS e FROM t LEFT JOIN lab USING (doc_id)),
+long AS (SELECT rid, part, good, toxic, unnest([a, b, c, d, e]) AS fails, unnest(['A', 'B', 'C', 'D', 'E']) AS f FROM fl),
+bad AS (SELECT rid, part, good, toxic, list(f) FILTER (fails) AS fs FROM long GROUP BY ALL),
+classes AS (SELECT part, good, toxic, coalesce(fs, []) AS fs, count(*) AS n FROM (SELECT part, good, toxic, list_sort(fs) AS fs FROM bad) GROUP BY ALL),
+one AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM one a, one b, one c, one d, one e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+s AS (SELECT o, step, o[step:step] AS f, string_split(o[1:step - 1], '') AS before FROM steps),
+r AS (SELECT part, o AS filter_order, step, f,
+  coalesce(sum(n) FILTER (NOT list_has_any(fs, before) AND NOT list_contains(fs, f)), 0) AS kept,
+  coalesce(sum(n) FILTER (list_contains(fs, f) AND NOT list_has_any(fs, before)), 0) AS removed,
+  coalesce(sum(n) FILTER (list_contains(fs, f) AND list_has_any(fs, before)), 0) AS redundant,
+  coalesce(sum(n) FILTER (fs = [f]), 0) AS unique_fails,
+  coalesce(sum(n) FILTER (good AND list_contains(fs, f) AND NOT list_has_any(fs, before)), 0) AS good_lost,
+  coalesce(sum(n) FILTER (toxic AND list_contains(fs, f) AND NOT list_has_any(fs, before)), 0) AS toxic_lost
+  FROM classes, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
+
+_LINES_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+each AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM t),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), {_UPPER}) AS k FROM each),
+firsts AS (SELECT k, min(doc_id) AS f FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+marked AS (SELECT rid, doc_id, line, i, coalesce(doc_id > f, FALSE) AS gone FROM keyed LEFT JOIN firsts USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid"""
+
+
 # Without an entry (tests hold them against brute force): token ids, fingerprints and their components,
 # repeated byte strings, packing.
 ORACLES: dict[str, str] = {
@@ -275,4 +352,7 @@ ORACLES: dict[str, str] = {
     "op8_minhash_containment": _CONTAINMENT_SQL,
     "op9_countmin_windows": _WINDOWS_SQL,
     "op10_license_join": _license_sql(),
+    "op11_ball_tree_search": _SEARCH_SQL,
+    "op12_filter_audit": _AUDIT_SQL,
+    "op13_line_hash": _LINES_SQL,
 }

@@ -117,7 +117,7 @@ def byte_values(data: bytes | np.ndarray, seed: int = 1) -> np.ndarray:
 
 
 # Bytes of texts that one vectorised pass takes (a longer text is a pass of its own).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def text_chunks(texts, table: bytes):  # noqa: ANN001, ANN201

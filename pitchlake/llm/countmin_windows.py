@@ -37,7 +37,7 @@ WINDOW = 13
 # The sketch: rows of at most 2^BITS counters, in blocks of 2^BLOCK that travel together; bits of the bitmap of copies.
 ROWS, BITS, BLOCK, COPY_BITS = 2, 28, 20, 24
 # Distinct hashes that a task holds before it sends its counters.
-TASK_HASHES = 1 << 22
+TASK_HASHES = 1 << 20
 
 # White space that parts words becomes a blank; all other bytes stay.
 _BLANKS = bytes(32 if 9 <= b <= 13 else b for b in range(256))
@@ -170,16 +170,11 @@ def repeated_windows(docs: DataFrame, sketch, key: str, text: str, window: int,
     """(key, hash, n_words, copy, kept_sha256): a row per distinct window that the sketch lets pass, and one without
     a hash per document, with the digest of all its words and whether it is a copy (of which no window is listed).
 
-    ``sketch`` is a broadcast of (blocks by row and number, bitmap of copies).
+    ``sketch`` is a broadcast of (table of bits by row, bitmap of copies).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, copies = sketch.value
-        tables = {}
-        for (row, block), data in blocks.items():
-            if row not in tables:
-                tables[row] = np.zeros(1 << (bits - 3), dtype=np.uint8)
-            tables[row][block << (BLOCK - 3):(block + 1) << (BLOCK - 3)] = np.frombuffer(data, dtype=np.uint8)
+        tables, copies = sketch.value
 
         def bit(table: np.ndarray, s: np.ndarray) -> np.ndarray:
             s = s.astype(np.int64)
@@ -258,9 +253,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     bits = sketch_bits(docs, text) if bits is None else bits
     partial = written(partial_sketches(docs, key, text, window, rows, bits), "countmin-partial")
     # At most rows * 2^bits bits, whatever the corpus.
-    blocks = {(r["row"], r["block"]): bytes(r["bits"]) for r in merged_sketch(partial).toLocalIterator()}
-    sketch = spark.sparkContext.broadcast((blocks, copies_bitmap(partial)))
-    del blocks
+    tables: dict[int, np.ndarray] = {}
+    for r in merged_sketch(partial).toLocalIterator():
+        table = tables.setdefault(r["row"], np.zeros(1 << (bits - 3), dtype=np.uint8))
+        table[r["block"] << (BLOCK - 3):(r["block"] + 1) << (BLOCK - 3)] = np.frombuffer(r["bits"], dtype=np.uint8)
+    sketch = spark.sparkContext.broadcast((tables, copies_bitmap(partial)))
+    del tables
     discard(partial)
     release(spark)
     seen = written(repeated_windows(docs, sketch, key, text, window, rows, bits), "countmin-windows")

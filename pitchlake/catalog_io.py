@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake import catalog
 from pitchlake.catalog import register, with_ctes
@@ -20,8 +22,8 @@ from pitchlake.sinks.landing import landed_days, log_days, read_log, write_landi
 from pitchlake.sinks.layout import Layout
 from pitchlake.sinks.upsert import merge_rows
 from pitchlake.sources import fixtures
-from pitchlake.sources.landing import read_landing
-from pitchlake.sources.local import nan_to_null
+from pitchlake.sources.landing import read_landing, tree_range
+from pitchlake.sources.local import from_local_batches, nan_to_null
 from pitchlake.sources.lookup import read_lookup_csv, with_source_file, write_lookup_csv
 from pitchlake.streaming.bronze_stream import stream_bronze
 
@@ -69,7 +71,7 @@ def q_latest_date(spark, sf):
 @register("landed_range", (
     "SELECT min(CAST(ts AS DATE)) AS start_date, max(CAST(ts AS DATE)) AS end_date, count(*) > 0 AS has_new FROM events"))
 def q_landed_range(spark, sf):
-    return incremental.landed_range(read_landing(spark, _land_events(spark, sf)))
+    return tree_range(spark, _land_events(spark, sf))
 
 
 @register("missing_days", (
@@ -94,25 +96,51 @@ def q_missing_days(spark, sf):
     " UNION ALL SELECT 'empty', FALSE, NULL, NULL"))
 def q_skip_gate(spark, sf):
     """A step that runs for a range with rows and is skipped for one without."""
-    landed = read_landing(spark, _land_events(spark, sf))
-    spans = {"landed": landed, "empty": landed.filter(F.col("ts").isNull())}
+    root = _land_events(spark, sf)
+    after = incremental.latest_date(landed_days(spark, root), "day") + dt.timedelta(days=1)
+    spans = {"landed": tree_range(spark, root), "empty": tree_range(spark, root, after)}
     out = []
-    for name, rows in spans.items():
-        got = incremental.run_if_new(incremental.landed_range(rows).first(), lambda lo, hi: (lo, hi))
+    for name, span in spans.items():
+        got = incremental.run_if_new(span.first(), lambda lo, hi: (lo, hi))
         out.append((name, got is not None, *(got or (None, None))))
     return spark.createDataFrame(out, "span string, ran boolean, start_date date, end_date date")
 
 
 @register("local_roundtrip", (
-    "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value, event_type FROM events"
-    " WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"))
+    "SELECT event_id, event_type, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS value, n_name AS region_name,"
+    " CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE CAST(n_nationkey AS DOUBLE) / 4 END AS measure"
+    " FROM events JOIN nation ON user_id % 25 = n_nationkey"))
 def q_local_roundtrip(spark, sf):
-    """All events with NaN for missing measures, as a local fetch leaves them, landed; the last day read back."""
+    """Local batches and landed events, both with NaN for missing measures: stored with NULL, all days read back and joined.
+
+    The local table is the fixed one of 25 nations, fetched in batches of ten rows.
+    """
+    nations = fixtures.read_table(spark, sf, "nation").orderBy("n_nationkey").limit(25).toArrow()
+    measure = [float("nan") if k % 4 == 0 else k / 4 for k in nations.column("n_nationkey").to_pylist()]
+    fetched = pa.table({"id": nations.column("n_nationkey"), "region_name": nations.column("n_name"), "measure": measure})
+    local = from_local_batches(spark, fetched.to_batches(max_chunksize=10), scratch_path(spark, "local"),
+                               T.StructType.fromDDL("id long, region_name string, measure double"))
     events = _events(spark, sf)
-    last = incremental.latest_date(events, "ts")
-    fetched = events.withColumn("value", F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
-    root = _land_events(spark, sf, nan_to_null(fetched))
-    return read_landing(spark, root, start=last, end=last, date_col="ts").select("event_id", "value", "event_type")
+    with_nan = events.withColumn("value", F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+    back = read_landing(spark, _land_events(spark, sf, nan_to_null(with_nan)))
+    return (back.join(local, back["user_id"] % 25 == local["id"])
+            .select("event_id", "event_type", "value", "region_name", "measure"))
+
+
+# Until this day events had a narrower user id and no props.
+DRIFT_DAY = "2024-01-12"
+
+
+@register("landing_drift", (
+    f"SELECT event_id, ts, user_id, event_type, value, CASE WHEN CAST(ts AS DATE) >= DATE '{DRIFT_DAY}' THEN props END AS props,"
+    " lpad(CAST(day(ts) AS VARCHAR), 2, '0') AS d FROM events"))
+def q_landing_drift(spark, sf):
+    """Days landed before and after the source gained a column and widened a type, read as one table by the recorded schemas."""
+    events, root = _events(spark, sf), scratch_path(spark, "landing-drift")
+    old = F.to_date("ts") < F.lit(DRIFT_DAY).cast("date")
+    write_landing(events.filter(old).drop("props").withColumn("user_id", F.col("user_id").cast("int")), root, "ts")
+    write_landing(events.filter(~old), root, "ts")
+    return read_landing(spark, root).select("event_id", "ts", "user_id", "event_type", "value", "props", "d")
 
 
 @register("ingest_days", (
@@ -279,7 +307,7 @@ def _load(spark, sf):
     """All pitches landed by day and loaded into every layer."""
     layout = Layout(spark, scratch_path(spark, "layout-pipeline"))
     register_csv = scratch_path(spark, "register-csv")
-    write_lookup_csv(fixtures.lookup(spark, sf), register_csv)
+    write_lookup_csv(fixtures.lookup(spark, sf).repartition("key_mlbam"), register_csv)  # all rows of an id in one file
     runner.load_players(spark, layout, f"{register_csv}/part-*.csv")
     root = _land_pitches(spark, _by_month(spark, sf), "landing-pitches")
     runner.full_load(spark, layout, read_bronze_source(spark, root))
@@ -292,9 +320,8 @@ def q_pipeline_full(spark, sf):
     return _load(spark, sf).read(runner.GAMES).drop("season")
 
 
-@register("pipeline_incremental", _over_landed(_RELANDED, "SELECT * FROM yearly", "yearly"))
-def q_pipeline_incremental(spark, sf):
-    """A full load, then one increment of days landed again; the seasons then equal a full load of the final rows."""
+def _increment(spark, sf):
+    """A full load, then one increment of days landed again."""
     layout = _load(spark, sf)
     late = F.col("game_date") >= F.lit(RELANDED_FROM).cast("date")
     rows = (_by_month(spark, sf).filter(late)
@@ -304,4 +331,49 @@ def q_pipeline_incremental(spark, sf):
     last = incremental.latest_date(landed_days(spark, root), "day")
     landed = read_bronze_source(spark, root, RELANDED_FROM, last)
     runner.incremental_run(spark, layout, landed, RELANDED_FROM, last)
-    return layout.read(runner.PITCHERS)
+    return layout
+
+
+@register("pipeline_incremental", _over_landed(_RELANDED, "SELECT * FROM yearly", "yearly"))
+def q_pipeline_incremental(spark, sf):
+    """The seasons after an increment equal a full load of the final rows."""
+    return _increment(spark, sf).read(runner.PITCHERS)
+
+
+@register("pipeline_incremental_games", _over_landed(_RELANDED, "SELECT * FROM summary", "summary"))
+def q_pipeline_incremental_games(spark, sf):
+    """The game summaries after an increment equal a full load of the final rows."""
+    return _increment(spark, sf).read(runner.GAMES).drop("season")
+
+
+# The register of a later load: some people are renamed, some ids are given a second row.
+_LATER_REGISTER = (
+    catalog.CTE_LOOKUP.replace("lookup AS (", "lookup0 AS (", 1) + ",\nlookup AS (SELECT key_mlbam,"
+    " CASE WHEN TRY_CAST(key_mlbam AS BIGINT) % 30 = 1 THEN 'Renamed' ELSE name_first END AS name_first, name_last FROM lookup0"
+    " UNION ALL SELECT key_mlbam, 'zz', 'Twin' FROM lookup0 WHERE TRY_CAST(key_mlbam AS BIGINT) % 70 = 7)")
+
+
+def _register_change(spark, sf):
+    """A full load, then the register again with changes; the games of changed people get their new names."""
+    layout = _load(spark, sf)
+    people, key = fixtures.lookup(spark, sf), F.col("key_mlbam").try_cast("long")
+    later = people.withColumn("name_first", F.when(key % 30 == 1, "Renamed").otherwise(F.col("name_first"))).unionByName(
+        people.filter(key % 70 == 7).select("key_mlbam", F.lit("zz").alias("name_first"), F.lit("Twin").alias("name_last")))
+    path = scratch_path(spark, "register-csv")
+    write_lookup_csv(later.repartition("key_mlbam"), path)
+    runner.refresh_players(spark, layout, f"{path}/part-*.csv")
+    runner.reenrich(spark, layout)
+    return layout
+
+
+@register("register_change", _over_landed(_LANDED, "SELECT game_pk, at_bat_number, pitch_number, date, batter, pitcher FROM enriched", "enriched")
+          .replace(catalog.CTE_LOOKUP, _LATER_REGISTER))
+def q_register_change(spark, sf):
+    """The names of all pitches after the register changed equal a full load with the later register."""
+    return _register_change(spark, sf).read(runner.ENRICHED).select("game_pk", "at_bat_number", "pitch_number", "date", "batter", "pitcher")
+
+
+@register("register_change_yearly", _over_landed(_LANDED, "SELECT * FROM yearly", "yearly").replace(catalog.CTE_LOOKUP, _LATER_REGISTER))
+def q_register_change_yearly(spark, sf):
+    """The seasons after the register changed equal a full load with the later register."""
+    return _register_change(spark, sf).read(runner.PITCHERS)

@@ -205,15 +205,14 @@ def with_flags(df: DataFrame) -> DataFrame:
     return df.select("*", F.year("date").alias("season"), *outcome_flags())
 
 
-def pitcher_yearly_counts(df: DataFrame, keys: tuple[str, ...] = PITCHER_KEYS) -> DataFrame:
-    """Aggregate by (season, pitcher, fielding team, pitch name): counts and exact averages.
+def pitcher_parts(df: DataFrame, keys: tuple[str, ...] = PITCHER_KEYS) -> DataFrame:
+    """Mergeable parts of the yearly metrics by ``keys``: counts, and sums and counts of the averages, all longs.
 
-    Pitchers are grouped by the ``pitcher`` column as given (a name after
-    ``enrich``; pass ``pitcher_id`` in ``keys`` to keep namesakes apart).
+    Parts of a finer key (with the day, say) add up to those of a coarser one (``merged_parts``).
     """
     flagged = with_flags(df)
     lsa = F.col("launch_speed_angle")
-    agg = flagged.groupBy(*keys).agg(
+    return flagged.groupBy(*keys).agg(
         # idx_game_pitch is never NULL, so counting it counts the pitches.
         F.count(F.lit(1)).alias("pitch_count"),
         *[p for name, col in PITCHER_AVERAGES.items() for p in avg_parts(col, name)],
@@ -227,7 +226,25 @@ def pitcher_yearly_counts(df: DataFrame, keys: tuple[str, ...] = PITCHER_KEYS) -
         flag_count(lsa == BARREL_LABEL).alias("barrel_count"),
         flag_count(lsa.isin(*POOR_CONTACT_LABELS)).alias("poor_contact_count"),
     )
-    return agg.select(*keys, *[avg_from_parts(c) if c in PITCHER_AVERAGES else F.col(c) for c in PITCHER_COUNTS])
+
+
+def merged_parts(parts: DataFrame, keys: tuple[str, ...] = PITCHER_KEYS) -> DataFrame:
+    """Counts and exact averages by ``keys`` from parts of a finer or the same key."""
+    names = [n for c in PITCHER_COUNTS for n in ([f"{c}__s", f"{c}__n"] if c in PITCHER_AVERAGES else [c])]
+    return _from_parts(parts.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names]), keys)
+
+
+def _from_parts(parts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return parts.select(*keys, *[avg_from_parts(c) if c in PITCHER_AVERAGES else F.col(c) for c in PITCHER_COUNTS])
+
+
+def pitcher_yearly_counts(df: DataFrame, keys: tuple[str, ...] = PITCHER_KEYS) -> DataFrame:
+    """Aggregate by (season, pitcher, fielding team, pitch name): counts and exact averages.
+
+    Pitchers are grouped by the ``pitcher`` column as given (a name after
+    ``enrich``; pass ``pitcher_id`` in ``keys`` to keep namesakes apart).
+    """
+    return _from_parts(pitcher_parts(df, keys), keys)
 
 
 def with_rates(df: DataFrame) -> DataFrame:

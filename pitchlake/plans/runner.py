@@ -23,9 +23,13 @@ SILVER = "silver_statcast_base"
 ENRICHED = "silver_statcast_enrich"
 GAMES = "gold_game_summary_stats"
 PITCHERS = "gold_pitcher_yearly"
+# Parts of the yearly table by day, which add up to it.
+PITCHER_DAYS = "gold_pitcher_days"
 # Which days hold rows of a game: (game_pk, day), so that a change of a game reads those days only.
 GAME_DAYS = "index_game_days"
 AFFECTED = "index_affected_days"
+# People whose register row changed with the last load.
+CHANGED_PEOPLE = "index_changed_people"
 
 
 def load_players(spark: SparkSession, layout: Layout, glob: str) -> DataFrame:
@@ -35,6 +39,60 @@ def load_players(spark: SparkSession, layout: Layout, glob: str) -> DataFrame:
     return layout.read(PLAYERS)
 
 
+def _row_hashes(players: DataFrame) -> DataFrame:
+    """(player_id, h): a hash of what the enrichment reads of a person."""
+    return players.filter(F.col("player_id").isNotNull()).select(
+        "player_id", F.sha2(F.to_json(F.struct("player_name", "is_current")), 256).alias("h"))
+
+
+def refresh_players(spark: SparkSession, layout: Layout, glob: str) -> DataFrame:
+    """Load the register again; returns the ids of people who are new, gone or read differently than before."""
+    before = _row_hashes(layout.read(PLAYERS)).withColumnRenamed("h", "old")  # the last version stays readable
+    after = _row_hashes(load_players(spark, layout, glob))
+    changed = before.join(after, "player_id", "full").filter(~F.col("h").eqNullSafe(F.col("old"))).select("player_id")
+    layout.write(CHANGED_PEOPLE, changed)
+    return layout.read(CHANGED_PEOPLE)
+
+
+def reenrich(spark: SparkSession, layout: Layout) -> bool:
+    """Give the games of people changed by ``refresh_players`` their new names, in every layer that holds names.
+
+    Only ids of silver are read to find these games; then their days. The tables equal
+    a full load with the new register.  Returns False (and writes nothing) if nobody changed or played.
+    """
+    people = layout.read(CHANGED_PEOPLE)
+    if not people.limit(1).count():
+        return False
+    seen = layout.read(SILVER).select("game_pk", F.to_date("date").alias("day"),
+                                      F.explode(F.array(F.col("batter").cast("long"), F.col("pitcher").cast("long"))).alias("player_id"))
+    # The days of whole games: a game over two days is replaced whole.
+    games = seen.join(people, on="player_id", how="left_semi").select("game_pk").distinct()
+    layout.write(AFFECTED, layout.read(GAME_DAYS).join(games, on="game_pk", how="left_semi"))
+    affected = layout.read(AFFECTED)
+    games, days = affected.select("game_pk").distinct(), affected.select("day").distinct()
+    listed = [r[0] for r in days.collect()]  # days of the calendar
+    if not listed:
+        return False
+    rows = layout.read(SILVER).filter(F.col("date").isin(listed)).join(games, on="game_pk", how="left_semi")
+    layout.replace(ENRICHED, silver.enrich(rows, layout.read(PLAYERS)), games, "date", old_values=days)
+    _refresh_pitchers(layout, days, listed)
+    return True
+
+
+def _day_parts(enriched: DataFrame) -> DataFrame:
+    return gold.pitcher_parts(enriched, ("date", *gold.PITCHER_KEYS))
+
+
+def _refresh_pitchers(layout: Layout, days: DataFrame, listed: list[dt.date]) -> None:
+    """The yearly table after a change of ``days``: their parts are made again, and the seasons added up from parts."""
+    touched = layout.read(ENRICHED).filter(F.col("date").isin(listed))
+    layout.replace(PITCHER_DAYS, _day_parts(touched), days.select(F.col("day").alias("date")), "date", old_values=days)
+    years = sorted({d.year for d in listed})
+    seasons = days.select(F.year("day").alias("season")).distinct()
+    parts = layout.read(PITCHER_DAYS).filter(F.year("date").isin(years))
+    layout.replace(PITCHERS, gold.with_rates(gold.merged_parts(parts)), seasons, "season", old_values=seasons)
+
+
 def _game_days(rows: DataFrame, col: str) -> DataFrame:
     return rows.select("game_pk", F.to_date(F.col(col)).alias("day")).distinct()
 
@@ -52,7 +110,8 @@ def full_load(spark: SparkSession, layout: Layout, landed: DataFrame) -> None:
     layout.write(ENRICHED, silver.enrich(layout.read(SILVER), layout.read(PLAYERS)), partition_by="date")
     enriched = layout.read(ENRICHED)
     layout.write(GAMES, _games(enriched), partition_by="season")
-    layout.write(PITCHERS, gold.pitcher_yearly(enriched), partition_by="season")
+    layout.write(PITCHER_DAYS, _day_parts(enriched), partition_by="date")
+    layout.write(PITCHERS, gold.with_rates(gold.merged_parts(layout.read(PITCHER_DAYS))), partition_by="season")
 
 
 def incremental_run(spark: SparkSession, layout: Layout, landed: DataFrame,
@@ -61,10 +120,12 @@ def incremental_run(spark: SparkSession, layout: Layout, landed: DataFrame,
 
     Silver numbers pitches per game and gold aggregates per game and per
     season, so the rows of all affected games (also their rows of other days)
-    are computed anew and take the place of the old ones, and so do the
-    affected seasons, before and after the change.  Only days that hold rows
+    are computed anew and take the place of the old ones.  Affected seasons,
+    before and after the change, are added up from parts by day, of which only
+    those of touched days are made again.  Only days that hold rows
     of affected games are read (by partition).  Returns False (and writes
-    nothing) when no row landed in the range.
+    nothing) when no row landed in the range.  For a changed register see
+    ``refresh_players`` and ``reenrich``.
     """
     new = date_range(landed, "game_date", start, end)
     rng = landed_range(new, "game_date").first()
@@ -87,9 +148,7 @@ def incremental_run(spark: SparkSession, layout: Layout, landed: DataFrame,
         layout.replace(SILVER, silver.silver_base(whole_games(BRONZE, "game_date")), games, "date", old_values=days)
         layout.replace(ENRICHED, silver.enrich(whole_games(SILVER, "date"), layout.read(PLAYERS)), games, "date", old_values=days)
         layout.replace(GAMES, _games(whole_games(ENRICHED, "date")), games, "season", old_values=seasons)
-        years = sorted({d.year for d in listed})
-        of_seasons = layout.read(ENRICHED).filter(F.year("date").isin(years))
-        layout.replace(PITCHERS, gold.pitcher_yearly(of_seasons), seasons, "season", old_values=seasons)
+        _refresh_pitchers(layout, days, listed)
         return True
 
     return bool(run_if_new(rng, apply))

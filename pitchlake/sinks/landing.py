@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.sinks.layout import path_exists
-from pitchlake.sources.landing import PARTITION_COLUMNS, day_folders, partition_date, read_landing
+from pitchlake.sinks.files import path_exists
+from pitchlake.sources.drift import record_schema
+from pitchlake.sources.landing import PARTITION_COLUMNS, day_folders
 
 INGEST_LOG_SCHEMA = T.StructType([
     T.StructField("day", T.DateType(), False),
@@ -26,7 +27,7 @@ def landing_partitions(date: Column) -> dict[str, Column]:
 
 
 def write_landing(df: DataFrame, root: str, date_col: str, mode: str = "dynamic",
-                  max_records_per_file: int = 5_000_000) -> None:
+                  max_records_per_file: int = 5_000_000, observe: tuple[Observation, list[Column]] | None = None) -> None:
     """Write rows partitioned by ``y/m/d`` derived from ``date_col``.
 
     ``mode="dynamic"`` replaces only the days present in ``df`` (a re-landed
@@ -34,10 +35,15 @@ def write_landing(df: DataFrame, root: str, date_col: str, mode: str = "dynamic"
     replaces the whole tree; ``"append"`` adds files.  The partition values
     live in the path only.  Rows are rebalanced by day before writing, which
     keeps few files per day while AQE splits an oversized day over several
-    tasks.
+    tasks.  The schema is recorded beside the tree (``sources.drift``).
+    ``observe`` counts on the rows as the writing tasks see them.
     """
+    record_schema(df, root)
     out = df.withColumns(landing_partitions(F.to_date(F.col(date_col))))
     out = out.hint("rebalance", *PARTITION_COLUMNS)
+    if observe is not None:
+        # Above the rebalance, so that each row counts in the task that writes it, and only in the attempt that is kept.
+        out = out.observe(observe[0], *observe[1])
     writer = out.write.partitionBy(*PARTITION_COLUMNS).option("maxRecordsPerFile", max_records_per_file)
     if mode == "dynamic":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -75,11 +81,16 @@ def land_days(spark: SparkSession, rows: DataFrame, root: str, log_path: str, da
     """Land fetched rows and log every requested day with its row count.
 
     ``rows`` holds what was fetched for the requested ``days``: their days are
-    replaced in the landing tree (dynamic overwrite).  A requested day without
+    replaced in the landing tree (dynamic overwrite).  Rows are counted while they
+    are written, with a counter per requested day: no landed file is opened.  A requested day without
     a row is logged with ``n_rows = 0``, so that ``missing_days`` does not ask
     for it again.
     """
-    write_landing(rows, root, date_col, mode="dynamic")
-    wanted = days.select(F.to_date(F.col(day_col)).alias("day")).distinct()
-    got = read_landing(spark, root, rows.schema).groupBy(partition_date().alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
-    log_days(spark, log_path, wanted.join(got, on="day", how="left").fillna(0, ["n_rows"]), n_rows_col="n_rows")
+    wanted = sorted({r[0] for r in days.select(F.to_date(F.col(day_col)).alias("day")).collect() if r[0] is not None})  # days of the calendar
+    if not wanted:
+        return
+    counts, day = Observation(), F.to_date(F.col(date_col))
+    write_landing(rows, root, date_col, mode="dynamic",
+                  observe=(counts, [F.count_if(day == F.lit(d)).alias(d.isoformat()) for d in wanted]))
+    n = counts.get
+    log_days(spark, log_path, spark.createDataFrame([(d, n[d.isoformat()]) for d in wanted], "day date, n_rows long"), n_rows_col="n_rows")

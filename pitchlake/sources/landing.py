@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.schemas import LANDING_PARTITION_SCHEMA
-from pitchlake.sinks.layout import list_folders
+from pitchlake.sinks.files import list_folders
+from pitchlake.sources.drift import merged, recorded
 
 PARTITION_COLUMNS: tuple[str, ...] = ("y", "m", "d")
 DateLike = str | dt.date
@@ -41,15 +42,19 @@ def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = N
 
     Partition inference would turn ``m=03`` into 3 (and a write-back would
     create ``m=3`` beside ``m=03``), so the partition columns are declared as
-    strings.  Without ``schema`` the data columns come from the Parquet
-    footers of all days.  With ``start``/``end`` only the day folders of the range
+    strings.  Without ``schema`` the data columns come from the schemas
+    recorded at writing, merged (``sources.drift``); only a tree that has no records,
+    as it was written elsewhere, has the Parquet footers of all its days read.  With ``start``/``end`` only the day folders of the range
     are given to the scan and, when ``date_col`` is given, the date column is
     filtered as well.  A range without a landed day gives no rows.
     """
     paths = [root]
     if start is not None or end is not None:
         paths = [p for _, p in day_folders(spark, root, start, end)]
-    if schema is None:
+    records = recorded(spark, root) if schema is None else []
+    if records:
+        schema = merged(records)
+    elif schema is None:
         inferred = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*(paths or [root])).schema
         schema = T.StructType([f for f in inferred.fields if f.name not in PARTITION_COLUMNS])
     data_fields = [f for f in schema.fields if f.name not in PARTITION_COLUMNS]
@@ -62,6 +67,29 @@ def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = N
     return df
 
 
+def tree_range(spark: SparkSession, root: str, start: DateLike | None = None, end: DateLike | None = None,
+               log: DataFrame | None = None) -> DataFrame:
+    """One row: first and last day of ``[start, end]`` that holds a row, and whether any does (``has_new``).
+
+    Days come from folder names, less those that the ingest log says are
+    empty; whether a day holds a row from one row at most, read from its end of the
+    range inwards.  No rows are counted, and days between are not opened.
+    """
+    days = day_folders(spark, root, start, end)
+    if log is not None:
+        # The last entry of a day counts.
+        last = log.groupBy("day").agg(F.max_by("n_rows", "logged_at").alias("n"))
+        empty = {r[0] for r in last.filter(F.col("n") == 0).collect()}
+        days = [(d, p) for d, p in days if d not in empty]
+
+    def first(found: list[tuple[dt.date, str]]) -> dt.date | None:
+        return next((d for d, p in found if spark.read.schema("__any int").parquet(p).limit(1).count()), None)
+
+    lo = first(days)
+    hi = first(days[::-1]) if lo is not None else None
+    return spark.createDataFrame([(lo, hi, lo is not None)], "start_date date, end_date date, has_new boolean")
+
+
 def partition_date(y: str = "y", m: str = "m", d: str = "d") -> Column:
     """The day a landing partition holds, as a date."""
     return F.make_date(F.col(y).cast("int"), F.col(m).cast("int"), F.col(d).cast("int"))

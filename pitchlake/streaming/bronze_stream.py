@@ -7,7 +7,8 @@ micro-batch, ``trigger(availableNow=True)`` processes what has landed and
 stops.  A re-landed day arrives as new files, so its rows update the
 existing keys (late or corrected data).  Within one micro-batch a key can
 occur twice (a day landed twice before the run); the row from the newest
-file wins.  No watermark is needed: there is no event-time state, the key
+file wins.  The table remembers the last batch of each stream (by its checkpoint),
+so a batch that is played again after a lost driver is skipped.  No watermark is needed: there is no event-time state, the key
 makes the result exact.
 """
 
@@ -55,7 +56,7 @@ def stream_bronze(spark: SparkSession, landing_root: str, data_schema: T.StructT
             rows = rows.withColumn(partition_by, F.to_date(F.col(day_of)))
         if audit_col:
             rows = with_audit(rows, audit_col)
-        layout.upsert(table, rows, keys, partition_by=partition_by)
+        layout.upsert(table, rows, keys, partition_by=partition_by, batch=(checkpoint, batch_id))
 
     query = (stream.writeStream.foreachBatch(upsert_batch)
              .option("checkpointLocation", checkpoint)

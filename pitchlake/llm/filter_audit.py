@@ -1,20 +1,20 @@
 """What filters do to each other: every order of them, audited through failing-id relations.
 
 1. One pass over the texts writes a narrow table of all rows (row, part, labels)
-   and, per filter, a table of the ids of the rows that fail it.  All are
-   bucketed by row id, so the joins below move nothing.
-2. For every filter f and every set S of other filters, ``survivors`` is the rows
-   left by left-anti joins with the tables of S, and a left-semi join with the
-   table of f gives what f removes after S.  Orders that begin with the same
-   filters share these rows: a prefix's survivors don't depend on its order.
-3. The counts of removals by (S, f, part), a few rows, give all orders: what
+   and, per filter, a table of the ids of the rows that fail it.
+2. Sets of filters are walked level by level.  A level holds the survivors of
+   every set of so many filters, as (set, row): per filter f outside a set, a
+   left-semi join with the table of f gives what f removes after the set, and a
+   left-anti join the survivors of the next larger set.  Orders that begin with
+   the same filters share these rows, as a prefix's survivors don't depend on its
+   order.  Rows that fail no filter survive every set and are only counted.
+3. The counts of removals by (set, f, part), a few rows, give all orders: what
    is kept after a step, what a filter no longer finds, the sum over all orders.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import combinations, permutations
@@ -24,11 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm.common import discard, written
-from pitchlake.session import scratch_path
-from pitchlake.sinks.layout import delete_path
 
-# Rows of a bucket, about, and the least number of buckets.
-BUCKET_ROWS, BUCKETS = 500_000, 6
 FILTERS = "ABCDE"
 _UPPER = bytes(b for b in range(256) if not 0x41 <= b <= 0x5A)
 _SIGNS = frozenset(b"#$%&*|")
@@ -68,54 +64,41 @@ def copies(rows: DataFrame) -> DataFrame:
     return rows.join(first.select("digest", "first"), "digest").filter(F.col("key") > F.col("first")).select("row")
 
 
-class Relations:
-    """Tables bucketed by row id: ``base`` (row, part, good, toxic) and one of failing ids per filter."""
+def _sets(names: Sequence[str]) -> list[tuple[str, ...]]:
+    return [s for k in range(len(names) + 1) for s in combinations(names, k)]
 
-    def __init__(self, base: DataFrame, failing: dict[str, DataFrame]):
-        self.spark = base.sparkSession
-        n = base.count()
-        self.buckets = max(BUCKETS, -(-n // BUCKET_ROWS))
-        self.paths: list[str] = []
-        self.base = self._stored(base)
-        self.failing = {f: self._stored(x) for f, x in failing.items()}
 
-    def _stored(self, rows: DataFrame) -> DataFrame:
-        path, name = scratch_path(self.spark, "audit-relation"), f"audit_{uuid.uuid4().hex[:12]}"
-        (rows.repartition(self.buckets, "row").write.option("path", path).option("compression", "zstd")
-         .bucketBy(self.buckets, "row").sortBy("row").saveAsTable(name))
-        self.paths.append(path)
-        self.names = [*getattr(self, "names", []), name]
-        return self.spark.table(name)
+def removed(level: DataFrame, failing: DataFrame, bit: int) -> DataFrame:
+    """Rows of a level (``mask``: the set of filters passed) that the filter ``bit`` removes: a left-semi join with its ids."""
+    return level.filter(F.col("mask").bitwiseAND(bit) == 0).join(failing, "row", "left_semi")
 
-    def survivors(self, of: Sequence[str]) -> DataFrame:
-        """Rows that pass all filters of ``of``: one left-anti join each."""
-        return reduce(lambda rows, f: rows.join(self.failing[f], "row", "left_anti"), of, self.base)
 
-    def removed(self, after: Sequence[str], f: str) -> DataFrame:
-        """Rows that ``f`` removes after the filters of ``after``: a left-semi join with its table."""
-        return self.survivors(after).join(self.failing[f], "row", "left_semi")
+def survivors(level: DataFrame, failing: DataFrame, bit: int) -> DataFrame:
+    """The survivors of each set of a level and the filter ``bit``: a left-anti join.  Sets grow by later filters only, so each comes once."""
+    return level.filter(F.col("mask") < bit).join(failing, "row", "left_anti").withColumn("mask", F.col("mask").bitwiseOR(bit))
 
-    def drop(self) -> None:
-        for name in self.names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        for path in self.paths:
-            delete_path(self.spark, path)
 
+def removals(base: DataFrame, failing: dict[str, DataFrame]) -> DataFrame:
+    """(part, counts): per part a map from "S>f" to the rows that f removes after the set S: all, good, toxic; "" holds the part's rows.
 
-def _sets(names: Sequence[str]) -> list[tuple[str, ...]]:
-    return [s for k in range(len(names) + 1) for s in combinations(names, k)]
-
-
-def removals(relations: Relations) -> DataFrame:
-    """(part, counts): per part a map from "S>f" to the rows that f removes after S: all, good, toxic; "" holds the part's rows."""
-    names = sorted(relations.failing)
-    label = [F.sum("good").alias("good"), F.sum("toxic").alias("toxic")]
-    tagged = [relations.base.select(F.lit("").alias("step"), "part", "good", "toxic")]
-    for f in names:
-        for after in _sets([x for x in names if x != f]):
-            tagged.append(relations.removed(after, f).select(F.lit("".join(after) + ">" + f).alias("step"), "part", "good", "toxic"))
-    # Each step's counts in parts before they meet.
-    rows = reduce(DataFrame.unionAll, tagged).groupBy("part", "step").agg(F.count(F.lit(1)).alias("rows"), *label)
+    ``base`` is (row, part, good, toxic), ``failing`` a written table of ids (row) per filter.
+    """
+    names = sorted(failing)
+    sums = [F.count(F.lit(1)).alias("rows"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")]
+    found = [base.groupBy("part").agg(*sums).select(F.lit("").alias("step"), "part", "rows", "good", "toxic")]
+    any_filter = reduce(DataFrame.unionAll, [failing[f] for f in names])
+    level = written(base.join(any_filter, "row", "left_semi").withColumn("mask", F.lit(0)), "audit-level")
+    for size in range(len(names)):
+        gone = reduce(DataFrame.unionAll, [removed(level, failing[f], 1 << k).withColumn("f", F.lit(f)) for k, f in enumerate(names)])
+        passed = F.concat(*[F.when(F.col("mask").bitwiseAND(1 << k) > 0, f).otherwise("") for k, f in enumerate(names)], F.lit(">"), F.col("f"))
+        # A few rows: parts x filters x sets.
+        found.append(written(gone.groupBy("mask", "f", "part").agg(*sums).select(passed.alias("step"), "part", "rows", "good", "toxic"), "audit-counts"))
+        if size + 1 < len(names):
+            larger = written(reduce(DataFrame.unionAll, [survivors(level, failing[f], 1 << k) for k, f in enumerate(names)]), "audit-level")
+            discard(level)
+            level = larger
+    discard(level)
+    rows = reduce(DataFrame.unionAll, found)
     return rows.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("step", F.struct("rows", "good", "toxic")))).alias("counts"))
 
 
@@ -172,9 +155,10 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     zero = F.lit(0).cast("long")
     base = named.select("row", "part", F.coalesce("good", zero).alias("good"), F.coalesce("toxic", zero).alias("toxic")).unionAll(
         rows.filter(F.col("key").isNull()).select("row", "part", zero.alias("good"), zero.alias("toxic")))
-    failing = {f: rows.filter(F.col("fails").contains(f)).select("row") for f in "ABCD"} | {"E": copies(rows)}
-    relations = Relations(base, failing)
-    counts = written(removals(relations), "audit-removals")
-    relations.drop()
-    discard(rows)
+    base = written(base, "audit-base")
+    failing = {f: written(rows.filter(F.col("fails").contains(f)).select("row"), f"audit-fails-{f}") for f in "ABCD"}
+    failing["E"] = written(copies(rows), "audit-fails-E")
+    counts = written(removals(base, failing), "audit-removals")
+    for table in (rows, base, *failing.values()):
+        discard(table)
     return orders(counts, FILTERS)

@@ -150,22 +150,17 @@ def test_audit_query_on_its_tables(spark, small):
     assert rows(queries.op12_filter_audit(spark, SF0001)) == brute_audit(table_rows(small, "doc_id", "text", "lang"), labels)
 
 
-def test_audit_joins_are_anti_and_semi_without_exchange(spark, small):
+def test_audit_joins_are_anti_and_semi(spark):
     from pyspark.sql import functions as F
 
-    ids = spark.range(1000).withColumnRenamed("id", "row")
-    base = ids.select("row", F.lit("en").alias("part"), F.lit(1).cast("long").alias("good"), F.lit(0).cast("long").alias("toxic"))
-    relations = filter_audit.Relations(base, {f: ids.filter(F.col("row") % n == 0) for f, n in (("A", 2), ("B", 3), ("C", 5))})
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        gone = relations.removed(["A", "B"], "C")
-        plan = gone._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("LeftAnti") == 2 and plan.count("LeftSemi") == 1 and "Exchange" not in plan
-        assert rows(gone, "row") == [(i,) for i in range(1000) if i % 2 and i % 3 and i % 5 == 0]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        relations.drop()
+    level = spark.range(60).select(F.col("id").alias("row"), F.lit("en").alias("part"), F.lit(1).alias("mask"))
+    fails = spark.range(0, 60, 3).withColumnRenamed("id", "row")
+    gone, left = filter_audit.removed(level, fails, 2), filter_audit.survivors(level, fails, 2)
+    for df, join in ((gone, "LeftSemi"), (left, "LeftAnti")):
+        assert join in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(gone, "row", "mask") == [(i, 1) for i in range(0, 60, 3)] and rows(left, "row", "mask") == [(i, 3) for i in range(60) if i % 3]
+    # Filters of the set itself remove nothing, and sets don't grow by earlier filters.
+    assert filter_audit.removed(level, fails, 1).count() == 0 == filter_audit.survivors(level, fails, 1).count()
 
 
 # --- lines -------------------------------------------------------------------

@@ -6,11 +6,15 @@ it as Parquet below the shared checkpoint folder and rereads it as the next
 stage's documents.  All but the last return the columns of ``documents``.
 Documents with a null or empty text don't pass the quality rules; rows that
 repeat a document are near duplicates, of which one stays; extra columns pass
-through all stages but the last; an empty table gives empty results.
+through all stages but the last, whatever their names; an empty table gives
+empty results.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +23,25 @@ from pitchlake.llm.common import prepare, written
 from pitchlake.llm.queries import vocabulary
 
 
+def set_apart(stage):  # noqa: ANN001, ANN201
+    """The stage with input columns that begin with ``__`` under other names meanwhile: such names are the operators' own."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        free = (f"own{i}" for i in count() if f"own{i}" not in docs.columns)
+        own = {c: next(free) for c in docs.columns if c.startswith("__")}
+        out = stage(spark, docs.withColumnsRenamed(own), sf_dir)
+        return out.withColumnsRenamed({new: c for c, new in own.items()})
+
+    return run_stage
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs``, written, with a number of its own for every row (``__row``): ids may be null or repeat."""
     return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
 
 
+@set_apart
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     prepare(spark)
@@ -32,6 +50,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter(F.col("rejected_by").isNull()).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
+@set_apart
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, the one with the smallest id, of each group of near duplicates.
 
@@ -48,6 +67,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(first, F.col("__row") == F.col("__first"), "left_semi").select(*docs.columns)
 
 
+@set_apart
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of 200-byte strings that stand anywhere else too."""
     prepare(spark)
@@ -57,6 +77,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out
 
 
+@set_apart
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     prepare(spark)
@@ -66,6 +87,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(found, F.col("__row") == F.col("__leak"), "left_anti").select(*docs.columns)
 
 
+@set_apart
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of at most 2048 tokens."""
     prepare(spark)

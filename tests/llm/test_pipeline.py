@@ -15,7 +15,7 @@ from pitchlake.llm.common import written
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     df = entry.queries()[name](spark, SF001)
     cols = sorted(df.columns)
@@ -79,3 +79,19 @@ def test_quality_keeps_columns_of_its_own_names(spark):
     docs = spark.createDataFrame([(1, text, 7, "r"), (2, "few", 7, "r")], "doc_id long, text string, n_words long, rejected_by string")
     got = corpus_pipeline.quality(spark, docs, SF0001)
     assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(1, text, 7, "r")]
+
+
+CLASHING = ["__row", "__cut", "__words", "__lines", "__hashes", "__ordered", "__windows", "__places", "__runs", "__k", "__first", "__id", "__of",
+            "__leak", "__own_n_words", "own0"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:-1])
+def test_columns_of_the_operators_own_names_come_back_unchanged(spark, name, stage):
+    rng = random.Random(8)
+    shared = prose(rng, 60)
+    texts = [prose(rng, 80) + " " + shared, prose(rng, 70) + " " + shared, prose(rng, 90)]
+    rows = [(i, t, "en", "s", len(t), *[100 * i + k for k in range(len(CLASHING))]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in CLASHING))
+    out = stage(spark, docs, SF0001)
+    assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+    assert sorted(map(tuple, out.select("doc_id", *CLASHING).collect())) == [(r[0], *r[5:]) for r in rows]

@@ -58,10 +58,15 @@ def measured(docs: DataFrame, key: str, text: str, part: str) -> DataFrame:
     return rows.mapInArrow(run, "row long, key long, part string, fails string, digest binary")
 
 
-def copies(rows: DataFrame) -> DataFrame:
-    """Rows whose text a row with a smaller key has too.  A group of copies is one row of the smaller side."""
-    first = rows.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
-    return rows.join(first.select("digest", "first"), "digest").filter(F.col("key") > F.col("first")).select("row")
+def repeated(rows: DataFrame) -> DataFrame:
+    """(digest, first) of the texts that rows with different keys have: a row per text, combined before the shuffle."""
+    return (rows.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
+            .select("digest", "first"))
+
+
+def copies(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows whose text a row with a smaller key has too.  ``first`` is a written table, so that Spark may split a large group of copies."""
+    return rows.join(first, "digest").filter(F.col("key") > F.col("first")).select("row")
 
 
 def _sets(names: Sequence[str]) -> list[tuple[str, ...]]:
@@ -157,8 +162,9 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         rows.filter(F.col("key").isNull()).select("row", "part", zero.alias("good"), zero.alias("toxic")))
     base = written(base, "audit-base")
     failing = {f: written(rows.filter(F.col("fails").contains(f)).select("row"), f"audit-fails-{f}") for f in "ABCD"}
-    failing["E"] = written(copies(rows), "audit-fails-E")
+    first = written(repeated(rows), "audit-first")
+    failing["E"] = written(copies(rows, first), "audit-fails-E")
     counts = written(removals(base, failing), "audit-removals")
-    for table in (rows, base, *failing.values()):
+    for table in (rows, base, first, *failing.values()):
         discard(table)
     return orders(counts, FILTERS)

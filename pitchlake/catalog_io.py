@@ -168,22 +168,19 @@ def q_ingest_days(spark, sf):
             .select("day", F.coalesce("n_landed", F.lit(0).cast("long")).alias("n_landed"), "n_logged"))
 
 
-_UPSERT_COLS = ["game_pk", "at_bat_number", "pitch_number", "game_date", "home_score"]
-
-
 @register("upsert_three_keys", with_ctes(
-    f"SELECT t.* FROM (SELECT {', '.join(_UPSERT_COLS)} FROM pitches WHERE game_date < DATE '{UPSERT_TARGET_BEFORE}') t"
-    " WHERE NOT EXISTS (SELECT 1 FROM pitches s WHERE s.game_date >= DATE "
-    f"'{UPSERT_SOURCE_FROM}' AND s.game_pk = t.game_pk AND s.at_bat_number = t.at_bat_number"
-    " AND s.pitch_number = t.pitch_number)"
-    " UNION ALL SELECT game_pk, at_bat_number, pitch_number, game_date, home_score + 1 AS home_score FROM pitches"
+    f"SELECT t.* FROM pitches t WHERE game_date < DATE '{UPSERT_TARGET_BEFORE}'"
+    f" AND NOT EXISTS (SELECT 1 FROM pitches s WHERE s.game_date >= DATE '{UPSERT_SOURCE_FROM}' AND s.game_pk = t.game_pk"
+    " AND s.at_bat_number = t.at_bat_number AND s.pitch_number = t.pitch_number)"
+    " UNION ALL SELECT * REPLACE (home_score + 1 AS home_score) FROM pitches"
     f" WHERE game_date >= DATE '{UPSERT_SOURCE_FROM}'", "pitches"))
 def q_upsert_three_keys(spark, sf):
+    """Three-key upsert, all columns compared."""
     p = fixtures.pitches(spark, sf)
     target = p.filter(F.col("game_date") < F.lit(UPSERT_TARGET_BEFORE).cast("date"))
     source = (p.filter(F.col("game_date") >= F.lit(UPSERT_SOURCE_FROM).cast("date"))
               .withColumn("home_score", F.col("home_score") + 1))
-    return merge_rows(target, source, ["game_pk", "at_bat_number", "pitch_number"]).select(*_UPSERT_COLS)
+    return merge_rows(target, source, PITCH_KEYS)
 
 
 # A partitioned upsert: by month, with rows that have none, and keys whose month moves.

@@ -7,9 +7,10 @@ need an order: others can't be shared).  With required overlap
 a = ceil(t * |T|), a block that fits
 
 * holds one of the first |T| - a + 1 tokens of T (prefix filter),
-* has at least a distinct words (length filter), and
-* from its first shared token at place p of T has at most |T| - p more to
-  share, so p <= |T| - a (positional filter, per template).
+* has at least a distinct template tokens (length filter), and
+* from its first shared token, at place p of T and place q of the block's own
+  template tokens in the same order, shares at most 1 + min(|T| - p - 1,
+  |block| - q - 1) tokens, which must reach a (positional filter).
 
 Candidates fetched by prefix tokens are verified by exact overlap.
 """
@@ -76,8 +77,8 @@ def phrase_places(words: str, phrases: Mapping[str, str] = PHRASES) -> Column:
     return F.flatten(F.filter(F.transform(words, lambda w, i: F.when(w.isin(*starts), label(w, i))), lambda x: x.isNotNull()))
 
 
-def template_index(docs: DataFrame, text: str, templates: Mapping[str, str], threshold: float) -> list[tuple]:
-    """(token, place, label, size, need, tokens) for the prefix tokens of each template.
+def template_index(docs: DataFrame, text: str, templates: Mapping[str, str], threshold: float) -> tuple[list[tuple], list[str]]:
+    """(token, place, label, size, need, tokens) for the prefix tokens of each template, and all template tokens in order.
 
     Corpus frequencies are counted over all of ``docs``, for template tokens
     only; what reaches the driver is bounded by the templates.
@@ -88,12 +89,16 @@ def template_index(docs: DataFrame, text: str, templates: Mapping[str, str], thr
             .select(F.translate("raw", UPPER, LOWER).alias("token"))
             .join(F.broadcast(wanted), "token").groupBy("token").count().collect())
     counts = {r["token"]: r["count"] for r in rows}
+
+    def rank(token: str) -> tuple[int, str]:
+        return counts.get(token, 0), token
+
     out = []
     for label, tokens in sorted(sets.items()):
-        ordered = sorted(tokens, key=lambda t: (counts.get(t, 0), t))
+        ordered = sorted(tokens, key=rank)
         need = math.ceil(threshold * len(ordered) - 1e-9)
         out += [(t, p, label, len(ordered), need, ordered) for p, t in enumerate(ordered[:len(ordered) - need + 1])]
-    return out
+    return out, sorted({t for s in sets.values() for t in s}, key=rank)
 
 
 def matching_blocks(docs: DataFrame, key: list[str], text: str = "text", templates: Mapping[str, str] = TEMPLATES,
@@ -105,23 +110,25 @@ def matching_blocks(docs: DataFrame, key: list[str], text: str = "text", templat
     repeated lines and rows count each.  Very long texts are split into lines
     inside their row, and only lines with a prefix token go on.
     """
-    entries = template_index(docs, text, templates, threshold)
+    entries, every = template_index(docs, text, templates, threshold)
     spark = docs.sparkSession
     schema = "token string, place int, label string, size int, need int, tokens array<string>"
     if not entries:
-        entries, probe = [], "(?!)"
+        probe = "(?!)"
     else:
         probe = "(?i)(?<![0-9A-Za-z\\x{80}-\\x{10FFFF}])(?:" + "|".join(sorted({re.escape(e[0]) for e in entries})) + ")(?![0-9A-Za-z\\x{80}-\\x{10FFFF}])"
     index = spark.createDataFrame(entries, schema)
     lines = (docs.filter(F.col(text).rlike(probe))
              .select(*key, F.posexplode(F.split(text, "\n")).alias("line", "block"))
              .filter(F.col("block").rlike(probe))
-             .withColumn("__set", F.array_distinct(lower_words(F.col("block")))))
-    fetched = (lines.select("*", F.explode("__set").alias("token"))
+             # The block's template tokens, in the order of all (others can't be shared).
+             .withColumn("__set", F.array_intersect(F.array(*map(F.lit, every)).cast("array<string>"), lower_words(F.col("block")))))
+    more = F.least(F.col("size") - F.col("place"), F.size("__set") - F.col("at")) - 1  # tokens after the shared one
+    fetched = (lines.select("*", F.posexplode("__set").alias("at", "token"))
                .join(F.broadcast(index), "token")  # one row per prefix token of the caller's templates
                # A template may be fetched by several prefix tokens: keep its first shared one.
                .filter(F.size(F.array_intersect(F.slice("tokens", F.lit(1), F.col("place")), "__set")) == 0)
-               .filter((F.size("__set") >= F.col("need")) & (F.col("size") - F.col("place") >= F.col("need"))))
+               .filter((F.size("__set") >= F.col("need")) & (1 + more >= F.col("need"))))
     overlap = F.size(F.array_intersect("tokens", "__set"))
     return (fetched.withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("need"))
             .select(*key, "line", "block", "label", "overlap", (F.col("overlap") / F.col("size")).alias("containment")))

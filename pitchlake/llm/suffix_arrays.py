@@ -344,7 +344,7 @@ def classify(records: DataFrame, kept: list[str], wide: int) -> tuple[DataFrame,
     row = F.struct("key", "th", "lo", "n", "a", "p0", "p1", *kept)
     each = records.groupBy("part", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min_by(row, F.struct("key", "th", "lo")).alias("r"))
     each = written(each.select("part", "ctx", "copies", "r.*"), "suffix-contexts")
-    several = each.groupBy("part").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > 1)
+    several = written(each.groupBy("part").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > 1), "suffix-several")
     mixed = each.join(several, "part")
     again = each.filter(F.col("copies") > 1).select(F.col("part").alias("p"), F.col("ctx").alias("c"))
     repeated = (records.join(again, (F.col("part") == F.col("p")) & (F.col("ctx") == F.col("c")))
@@ -381,9 +381,11 @@ def repeated_runs(docs: DataFrame, seen: DataFrame, key: str, text: str, wide: i
     ``seen`` is the written table of ``find_contexts`` and is deleted once read.
     """
     records = seen.filter(F.col("part").isNotNull()).drop("sha")
-    twice = records.groupBy("part").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("part")
+    # Written, so that the join is one of two plain tables: Spark broadcasts a small one and may split a frequent part.
+    twice = written(records.groupBy("part").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("part"), "suffix-twice")
     hits = written(records.join(twice, "part"), "suffix-candidates")
     discard(seen)
+    discard(twice)
     release(docs.sparkSession)
     repeated, mixed, broad = classify(hits, [], wide)
     found = [written(repeated, "suffix-repeated")]
@@ -410,7 +412,7 @@ def classify_weighted(records: DataFrame, kept: list[str], wide: int) -> tuple[D
     row = F.struct("key", "th", "lo", "n", "a", "p0", "p1", *kept)
     each = records.groupBy("part", "ctx").agg(F.sum("copies").alias("all"), F.min_by(row, F.struct("key", "th", "lo")).alias("r"))
     each = written(each.select("part", "ctx", F.col("all").alias("copies"), "r.*"), "suffix-contexts")
-    several = each.groupBy("part").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > 1)
+    several = written(each.groupBy("part").agg(F.count(F.lit(1)).alias("different")).filter(F.col("different") > 1), "suffix-several")
     mixed = each.join(several, "part")
     again = each.filter(F.col("copies") > 1).select(F.col("part").alias("p"), F.col("ctx").alias("c"))
     repeated = (records.filter(F.col("copies") == 1).join(again, (F.col("part") == F.col("p")) & (F.col("ctx") == F.col("c")))

@@ -1,11 +1,13 @@
 """The document operators against brute force, on odd rows and on the small tables."""
 
+import random
 import zlib
 
 import brute
 import numpy as np
 import pytest
 from llm_fixtures import SF001, SF0001, none, odd  # noqa: F401  (fixtures)
+from pyspark.sql import functions as F
 
 from conftest import rows
 from pitchlake.llm import (
@@ -161,6 +163,28 @@ def test_quality_order_changes_no_verdict(odd):
     assert {r.name for r in quality_cascade.order_rules(odd.select("text"), rules)} == {r.name for r in rules}
 
 
+@pytest.mark.parametrize("table", ["odd", "small", "none"])
+def test_cascade_gives_the_verdicts_of_all_counts(request, table):
+    df = request.getfixturevalue(table)
+    want = rows(quality_cascade.quality_filter(df).select("doc_id", F.col("rejected_by").isNull().alias("k")))
+    rules = quality_cascade.default_rules()
+    for order in (None, rules, rules[::-1]):
+        got = quality_cascade.judge(df, order, ordered=order is not None)
+        assert rows(got.select("doc_id", F.col("rejected_by").isNull().alias("k"))) == want
+
+
+def test_cascade_computes_nothing_of_rejected_rows(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    df = spark.createDataFrame([(1, text), (2, "only three words"), (3, None)], "doc_id long, text string")
+    few, *others = quality_cascade.default_rules()
+    boom = quality_cascade.Rule("boom", lambda: F.when(F.col("n_words") < 20, F.raise_error(F.lit("tested again")).cast("boolean")), ("n_words",))
+    got = {r["doc_id"]: r for r in quality_cascade.judge(df, [few, boom, *others], ordered=True).collect()}
+    assert [got[k]["rejected_by"] for k in (1, 2, 3)] == [None, "few_words", "few_words"]
+    assert got[1]["n_repeat_words"] == 0 and got[1]["n_lines"] == 1
+    for k in (2, 3):
+        assert [got[k][c] for c in ("word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")] == [None] * 5
+
+
 @pytest.mark.parametrize("table,wide", [("odd", 4000), ("odd", 1), ("small", 4000), ("none", 4000)])
 def test_repeated_bytes(request, table, wide):
     df = request.getfixturevalue(table)
@@ -283,6 +307,25 @@ def test_license_scan(request, table):
     assert ordered(got) == ordered(want)
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_license_join_of_random_templates(spark, threshold):
+    rng = random.Random(int(threshold * 10))
+    words = [f"w{i}" for i in range(14)]
+    templates = {f"t{i}": " ".join(rng.sample(words, rng.randint(1, 9))) for i in range(12)}
+    texts = ["\n".join(" ".join(rng.choices([*words, "x", "Y"], k=rng.randint(0, 12))).upper() for _ in range(4)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = license_join.matching_blocks(df, ["doc_id"], templates=templates, threshold=threshold)
+    want = []
+    for k, t in enumerate(texts):
+        for i, line in enumerate(t.split("\n")):
+            for label, template in templates.items():
+                wanted = set(template.split())
+                shared = len(wanted & set(line.lower().split()))
+                if shared >= threshold * len(wanted) - 1e-9:
+                    want.append((k, i, label, shared))
+    assert want and ordered(got.select("doc_id", "line", "label", "overlap").collect()) == ordered(want)
+
+
 @pytest.mark.parametrize("table", ["odd", "small", "none"])
 def test_packing(request, table):
     df = request.getfixturevalue(table)

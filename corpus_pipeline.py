@@ -46,7 +46,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     prepare(spark)
     own = {c: f"__own_{c}" for c in (*quality_cascade.MEASURES, "rejected_by") if c in docs.columns}
-    judged = quality_cascade.quality_filter(docs.withColumnsRenamed(own))
+    judged = quality_cascade.judge(docs.withColumnsRenamed(own))
     return judged.filter(F.col("rejected_by").isNull()).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 

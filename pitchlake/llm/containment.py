@@ -9,7 +9,8 @@ however long the document is.  Documents with fewer than need shingles skip a
 partition.  Candidates are verified by exact shingle containment on the words.
 
 The benchmark is the stated query set.  It is passed to the tasks in blocks of
-a fixed number of shingles, one pass over the documents per block.
+a fixed number of shingles, one pass over the documents per block.  A block's
+rows are written before the next one is fetched, so the driver holds one block.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import Words, text_chunks
+from pitchlake.llm.common import Words, text_chunks, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 # Item shingles that go to the tasks at once (about 100 bytes each).
@@ -49,7 +50,7 @@ def item_blocks(benchmark: DataFrame, key: str, text: str, block_shingles: int)
     block, size = [], 0
     for r in benchmark.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).dropna().toLocalIterator():
         block.append((r["k"], r["t"]))
-        size += r["t"].count(" ") + 1
+        size += len(word_bytes(r["t"]).split())
         if size >= block_shingles:
             yield block
             block, size = [], 0
@@ -68,15 +69,11 @@ def contained(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     Repeated rows give their rows each.  Either table empty: no rows.
     """
     schema = "key long, item long, shared long, size long, containment double"
-    out = None
+    spark, paths = docs.sparkSession, []
     for block in item_blocks(benchmark, item_key, item_text, block_shingles):
         found = docs.select(F.col(key).cast("long"), text).mapInArrow(_search(block, threshold, shingle), schema)
-        out = found if out is None else out.union(found)
-    return out if out is not None else _none(docs.sparkSession, schema)
-
-
-def _none(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+        paths.append(written(found, "contained-items")._written_to)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 class _Partition:

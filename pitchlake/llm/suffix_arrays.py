@@ -21,6 +21,7 @@ differ), so no task gets an unbounded key.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ from pitchlake.llm.common import byte_values, discard, mix, powers, prefix_hash,
 WINDOW, GRAM = 200, 16
 # Bytes of contexts in one suffix array, and different contexts of a key above which it is dealt out again.
 SHARD_BYTES, WIDE = 1 << 19, 4000
+# Windows that a merge of two shards holds as strings at once (200 bytes each, of either).
+SLICE = 1 << 15
 _SAME = bytes(range(256))
 _POSITION = np.uint64((1 << 28) - 1)
 
@@ -192,20 +195,38 @@ class Shard:
         self.repeats[1:] |= same
         self.repeats[:-1] |= same
 
-    def strings(self) -> np.ndarray:
-        """The windows in order, as fixed-length byte strings."""
+    def strings(self, a: int, b: int) -> np.ndarray:
+        """The windows a..b-1 of the order, as fixed-length byte strings."""
         view = np.lib.stride_tricks.sliding_window_view(self.data, self.window)
-        return np.ascontiguousarray(view[self.order]).view(f"S{self.window}").reshape(-1)
+        return np.ascontiguousarray(view[self.order[a:b]]).view(f"S{self.window}").reshape(-1)
+
+    def place(self, string: bytes, after: bool) -> int:
+        """How many windows are smaller than ``string`` (``after``: or equal), by binary search."""
+        find = bisect_right if after else bisect_left
+        return find(self.order, string, key=lambda i: self.data[i:i + self.window].tobytes())
 
     def merge(self, other: Shard) -> None:
-        """Find the windows of ``other`` here by binary search; those found repeat in both."""
-        mine, theirs = self.strings(), other.strings()
-        left, right = np.searchsorted(mine, theirs, side="left"), np.searchsorted(mine, theirs, side="right")
-        hit = right > left
-        other.repeats |= hit
-        edge = np.zeros(len(mine) + 1, dtype=np.int64)
-        np.add.at(edge, left[hit], 1)
-        np.add.at(edge, right[hit], -1)
+        """Find the windows of ``other`` here by binary search; those found repeat in both.
+
+        Both orders are walked in slices of ``SLICE`` windows: those of a slice of
+        ``other`` can only stand between the places of its first and last window here.
+        """
+        edge = np.zeros(len(self.order) + 1, dtype=np.int64)
+        for first in range(0, len(other.order), SLICE):
+            theirs = other.strings(first, first + SLICE)
+            ends = other.order[[first, min(first + SLICE, len(other.order)) - 1]]
+            low, high = (other.data[i:i + self.window].tobytes() for i in ends)
+            a, b = self.place(low, False), self.place(high, True)
+            left = np.full(len(theirs), a)
+            right = left.copy()
+            for at in range(a, b, SLICE):
+                mine = self.strings(at, min(at + SLICE, b))
+                left += np.searchsorted(mine, theirs, side="left")
+                right += np.searchsorted(mine, theirs, side="right")
+            hit = right > left
+            other.repeats[first:first + SLICE] |= hit
+            np.add.at(edge, left[hit], 1)
+            np.add.at(edge, right[hit], -1)
         self.repeats |= np.cumsum(edge[:-1]) > 0
 
     def repeated(self) -> tuple[np.ndarray, np.ndarray]:

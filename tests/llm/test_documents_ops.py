@@ -185,6 +185,20 @@ def test_cascade_computes_nothing_of_rejected_rows(spark):
         assert [got[k][c] for c in ("word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")] == [None] * 5
 
 
+@pytest.mark.parametrize("slice_windows", [5, 64, 1 << 15])
+def test_shards_merge_in_slices(monkeypatch, slice_windows):
+    monkeypatch.setattr(suffix_arrays, "SLICE", slice_windows)
+    rng, w = random.Random(slice_windows), 8
+    for _ in range(15):
+        blobs = [[bytes(rng.choices(b"ab\x00", k=rng.randint(w, 40))) for _ in range(rng.randint(1, 20))] for _ in range(2)]
+        one, two = (suffix_arrays.Shard(b, np.array([len(x) - w + 1 for x in b]), w) for b in blobs)
+        one.merge(two)
+        windows = [x[i:i + w] for b in blobs for x in b for i in range(len(x) - w + 1)]
+        for shard, b in zip((one, two), blobs):
+            got = set(zip(*(x.tolist() for x in shard.repeated())))
+            assert got == {(k, i) for k, x in enumerate(b) for i in range(len(x) - w + 1) if windows.count(x[i:i + w]) > 1}
+
+
 @pytest.mark.parametrize("table,wide", [("odd", 4000), ("odd", 1), ("small", 4000), ("none", 4000)])
 def test_repeated_bytes(request, table, wide):
     df = request.getfixturevalue(table)

@@ -136,6 +136,27 @@ def test_simhash_buckets_dealt_again_lose_no_link(spark, monkeypatch):
     assert {x: find(x) for x in fps} == {x: got.get(x, x) for x in fps}
 
 
+def test_pivot_table_discards_pairs_and_no_link(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = int(rng.integers(0, 2 ** 63))
+    fps = sorted({base ^ int(x) for x in rng.integers(0, 2 ** 20, 300)})  # 44 equal bits
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    refs = simhash_pivots.pivots().tolist()
+    for r in simhash_pivots.pivot_table(df).collect():
+        got = np.array(r["near"], dtype=np.int64).view(np.uint8).tolist()
+        assert got == [(r["fp"] & (1 << 64) - 1 ^ p).bit_count() for p in refs]
+    for wide in (2000, 10):  # whole buckets, and buckets dealt again by bits and cells
+        monkeypatch.setattr(simhash_pivots, "WIDE", wide)
+        links = {(r["a"], r["b"]) for r in simhash_pivots.near_links(df).collect()}
+        assert links and all((a ^ b).bit_count() <= 3 for a, b in links)
+        work = simhash_pivots.near_links(df, counts=True).groupBy().sum().first()
+        met, discarded, verified, found = work
+        assert discarded > verified >= found >= len({tuple(sorted(x)) for x in links}) and met >= discarded + verified
+    cells = simhash_pivots.with_cells(simhash_pivots.pivot_table(df)).groupBy("fp").agg(F.collect_set("cell").alias("c")).collect()
+    cell_of = {r["fp"]: set(r["c"]) for r in cells}
+    assert all(cell_of[a] & cell_of[b] for a in fps for b in fps if (a ^ b).bit_count() <= 3)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100), (200, 300), (300, 200), (250, 300)]
     got = dict(components.components(spark.createDataFrame(chain, "a long, b long")).collect())

@@ -3,13 +3,15 @@
 One plan for all groups, in which every number follows from column values:
 
 1. groups with more than ``rows_per_bucket`` rows get bounds, quantiles of
-   their first order column.  The bounds are written once (one row per such
-   group), so a recomputed task sees the same ones;
+   their first order column, and the number of rows before each of them.  Both are
+   written once (one row per such group), so a recomputed task sees the same ones;
 2. a row's bucket is the number of bounds of its group below its order value,
    0 without bounds, so buckets of a group follow each other in order;
 3. rows are numbered inside (group, bucket), and the rows of earlier buckets are
-   added (a prefix sum over one row per bucket of the groups with bounds).
+   added.
 
+The wide rows are joined once, with the small written table, and shuffled once, by
+(group, bucket); without groups above ``rows_per_bucket`` the join falls away.
 Poor bounds cost balance, never a number.  Rows that tie on the first order
 column share a bucket.
 """
@@ -49,9 +51,18 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _bucket(order: Column) -> Column:
+    """The number of bounds below the order value; 0 for NULL."""
+    below = F.size(F.filter("__bounds", lambda b: b < order))
+    return F.when(F.col("__bounds").isNull() | order.isNull(), 0).otherwise(below)
+
+
 def group_bounds(df: DataFrame, keys: Sequence[str], order: str, rows_per_bucket: int,
                  sizes_from: DataFrame | None = None) -> DataFrame:
-    """(``__k0``…, ``__bounds``): ascending bounds of every group above ``rows_per_bucket`` rows, written."""
+    """(``__k0``…, ``__bounds``, ``__before``) of every group above ``rows_per_bucket`` rows, written.
+
+    ``__bounds`` are ascending; ``__before`` has the number of rows in earlier buckets, for each bucket from 0.
+    """
     names = [f"__k{i}" for i in range(len(keys))]
     counted = (sizes_from if sizes_from is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     large = _kept(counted.filter(F.col("__rows") > rows_per_bucket)
@@ -59,14 +70,23 @@ def group_bounds(df: DataFrame, keys: Sequence[str], order: str, rows_per_bucket
     value = F.percentile_approx(F.col(order), F.array(*[F.lit(i / MAX_BUCKETS) for i in range(1, MAX_BUCKETS)]), F.lit(10_000))
     # Every (MAX_BUCKETS / buckets)-th quantile.
     buckets = F.least(F.lit(MAX_BUCKETS), F.ceil(F.col("__rows") / rows_per_bucket)).cast("int")
+    narrow = df.select(*keys, F.col(order).alias("__order"))
     quantiles = (df.select(*keys, order).join(large, _same(keys, names)).groupBy(*names).agg(
         value.alias("__q"), F.first("__rows").alias("__rows")))
     chosen = F.array_distinct(F.transform(F.sequence(F.lit(1), buckets - 1), lambda i: F.element_at(
         "__q", F.greatest(F.lit(1), F.floor(i * MAX_BUCKETS / buckets).cast("int")))))
     bounds = quantiles.select(*names, chosen.alias("__bounds"))
     if large.isEmpty():
-        return df.sparkSession.createDataFrame([], bounds.schema)
-    return _kept(bounds, "sequence-bounds")
+        return bounds.withColumn("__before", F.array().cast("array<bigint>")).limit(0)  # no rows: joins with it fall away
+    bounds = _kept(bounds, "sequence-bounds")
+    # At most MAX_BUCKETS rows per group.
+    sizes = (narrow.join(bounds, _same(keys, names)).groupBy(*names, _bucket(F.col("__order")).alias("__bucket"))
+             .agg(F.count(F.lit(1)).alias("__n")).groupBy(*names).agg(F.collect_list(F.struct("__bucket", "__n")).alias("__sizes"))
+             .select(*[F.col(n).alias(f"{n}_of") for n in names], "__sizes"))
+    before = F.transform(F.sequence(F.lit(0), F.size("__bounds")), lambda i: F.aggregate(
+        F.filter("__sizes", lambda e: e["__bucket"] < i), F.lit(0).cast("long"), lambda n, e: n + e["__n"]))
+    return _kept(bounds.join(sizes, _same(names, [f"{n}_of" for n in names])).select(*names, "__bounds", before.alias("__before")),
+                 "sequence-buckets")
 
 
 def sequence_index(df: DataFrame, partition_by: Sequence[str] = ("game_pk",),
@@ -82,18 +102,9 @@ def sequence_index(df: DataFrame, partition_by: Sequence[str] = ("game_pk",),
     keys, order = list(partition_by), list(order_by)
     names = [f"__k{i}" for i in range(len(keys))]
     bounds = group_bounds(df, keys, order[0], rows_per_bucket, sizes_from)
-    bucket = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col(order[0]))), F.lit(0))
-
-    def bucketed(frame: DataFrame, how: str) -> DataFrame:
-        joined = frame.join(bounds, _same(keys, names), how)
-        return joined.withColumn("__bucket", F.when(F.col("__bounds").isNull() | F.col(order[0]).isNull(), 0).otherwise(bucket)).drop("__bounds", *names)
-
-    per_bucket = bucketed(df.select(*keys, order[0]), "inner").groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = (per_bucket.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-              .select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__bucket").alias("__b"), "__before"))
     inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    numbered = bucketed(df, "left").withColumn("__row", F.row_number().over(inside))
-    return (numbered.join(before, _same([*keys, "__bucket"], [*names, "__b"]), "left")
-            .withColumn(out, (F.col("__row") + F.coalesce("__before", F.lit(0))).cast("int"))
+    return (df.join(bounds, _same(keys, names), "left")
+            .withColumn("__bucket", _bucket(F.col(order[0])))
+            .withColumn("__earlier", F.coalesce(F.get("__before", F.col("__bucket")), F.lit(0).cast("long")))
+            .withColumn(out, (F.row_number().over(inside) + F.col("__earlier")).cast("int"))
             .select(*df.columns, out))

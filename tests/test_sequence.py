@@ -59,3 +59,16 @@ def test_buckets_on_fixture_equal_plain_window(spark):
     plain = windowed_index(silver.silver_base(p, index=False), ["game_pk"], ["at_bat_number", "pitch_number"], "idx_game_pitch").select(*keys)
     assert forced.count() == plain.count()
     assert forced.exceptAll(plain).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_rows_are_shuffled_once(spark):
+    df = _frame(spark)
+    plain = _plan(sequence_index(df, ["g"], ["ab", "pn"], "i"))
+    assert "Join" not in plain and plain.count("Exchange hashpartitioning") == 1
+    with_bounds = _plan(sequence_index(df, ["g"], ["ab", "pn"], "i", rows_per_bucket=10))
+    assert with_bounds.count("Join") == 1 and "BroadcastHashJoin" in with_bounds
+    assert with_bounds.count("Exchange hashpartitioning") == 1

@@ -52,8 +52,9 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 
 
 def _bucket(order: Column) -> Column:
-    """The number of bounds below the order value; 0 for NULL."""
-    below = F.size(F.filter("__bounds", lambda b: b < order))
+    """The number of bounds below the order value; 0 for NULL.  A binary search: ten steps a row, however many bounds."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_BUCKETS.bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get("__bounds", n + step - 1) < order, n + step).otherwise(n))
     return F.when(F.col("__bounds").isNull() | order.isNull(), 0).otherwise(below)
 
 

@@ -72,3 +72,17 @@ def test_wide_rows_are_shuffled_once(spark):
     with_bounds = _plan(sequence_index(df, ["g"], ["ab", "pn"], "i", rows_per_bucket=10))
     assert with_bounds.count("Join") == 1 and "BroadcastHashJoin" in with_bounds
     assert with_bounds.count("Exchange hashpartitioning") == 1
+
+
+def test_bucket_search_equals_a_count_of_bounds(spark):
+    from pitchlake.operators.sequence import MAX_BUCKETS, _bucket
+
+    for n in (0, 1, 2, 5, 511, 512, MAX_BUCKETS - 1):
+        df = spark.range(-3, 2 * n + 3).select("id", F.expr(f"transform(sequence(1, {n or 1}), i -> CAST(2 * i AS BIGINT))" if n else "array(0L)").alias("__bounds"))
+        bounds = [2 * i for i in range(1, n + 1)] or [0]
+        import bisect
+        assert all(r[1] == bisect.bisect_left(bounds, r[0]) for r in df.select("id", _bucket(F.col("id"))).collect())
+    null = spark.sql("SELECT CAST(NULL AS BIGINT) AS id, array(1L) AS __bounds UNION ALL SELECT 5L, CAST(NULL AS ARRAY<BIGINT>)")
+    assert [r[0] for r in null.select(_bucket(F.col("id"))).collect()] == [0, 0]
+    # The search has no step per bound: the plan holds no lambda over the bounds.
+    assert "filter(__bounds" not in null.select(_bucket(F.col("id")))._jdf.queryExecution().toString()

@@ -138,21 +138,22 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Plain inner equi-joins; Catalyst prunes every table to the columns the
     projection uses and picks broadcasts for small dimensions.  The narrow line
-    items are dealt by the game key first, at every size, so that the joins run
-    in parallel however few row groups there are, and windows and aggregates by
-    game find their rows together instead of shuffling wide ones.
+    items meet their parts first, and are then dealt by the game key, at every size,
+    so that the joins run in parallel however few row groups there are, and windows and
+    aggregates by game find their rows together instead of shuffling wide ones.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = lambda n: read_table(spark, sf_dir, n)
-    l, o, c, h, a, p = (t("lineitem").repartition(parts, "l_orderkey").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
+    l, o, c, h, a, p = (t("lineitem").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
                         t("nation").alias("h"), t("nation").alias("a"), t("part").alias("p"))
-    joined = (
-        l.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
-        .join(c, F.col("o.o_custkey") == F.col("c.c_custkey"))
+    # Orders meet their customers before the line items: a shuffle of orders by customer is one of few, narrow rows.
+    games = (
+        o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"))
         .join(h, F.col("h.n_nationkey") == F.col("c.c_nationkey"))
         .join(a, F.col("a.n_nationkey") == (F.col("c.c_nationkey") + 1 + F.col("o.o_orderkey") % 24) % 25)
-        .join(p, F.col("p.p_partkey") == F.col("l.l_partkey"))
     )
+    lines = l.join(p, F.col("p.p_partkey") == F.col("l.l_partkey")).repartition(parts, "l.l_orderkey")
+    joined = lines.join(games, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
     return joined.selectExpr(*PITCH_VIEW_COLUMNS)
 
 

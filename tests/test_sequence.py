@@ -86,3 +86,19 @@ def test_bucket_search_equals_a_count_of_bounds(spark):
     assert [r[0] for r in null.select(_bucket(F.col("id"))).collect()] == [0, 0]
     # The search has no step per bound: the plan holds no lambda over the bounds.
     assert "filter(__bounds" not in null.select(_bucket(F.col("id")))._jdf.queryExecution().toString()
+
+
+def test_pitches_are_numbered_without_a_shuffle_of_wide_rows(spark):
+    from conftest import SF0001
+    from pitchlake.sources import fixtures
+
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large dimensions
+    try:
+        out = silver.silver_base(fixtures.pitches(spark, SF0001), sizes_from=fixtures.pitch_keys_superset(spark, SF0001))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        wide = [x for x in plan.splitlines() if "Exchange" in x and "game_pk" in x]
+        assert not wide, wide
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

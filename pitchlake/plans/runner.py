@@ -69,12 +69,13 @@ def reenrich(spark: SparkSession, layout: Layout) -> bool:
     games = seen.join(people, on="player_id", how="left_semi").select("game_pk").distinct()
     layout.write(AFFECTED, layout.read(GAME_DAYS).join(games, on="game_pk", how="left_semi"))
     affected = layout.read(AFFECTED)
-    games, days = affected.select("game_pk").distinct(), affected.select("day").distinct()
+    days = affected.select("day").distinct()
     listed = [r[0] for r in days.collect()]  # days of the calendar
     if not listed:
         return False
-    rows = layout.read(SILVER).filter(F.col("date").isin(listed)).join(games, on="game_pk", how="left_semi")
-    layout.replace(ENRICHED, silver.enrich(rows, layout.read(PLAYERS)), games, "date", old_values=days)
+    # Their days are written anew, all games of them: other rows read the same people as before.
+    rows = layout.read(SILVER).filter(F.col("date").isin(listed))
+    layout.write(ENRICHED, silver.enrich_by_day(rows, layout.read(PLAYERS)), partition_by="date", mode="dynamic", gathered=True)
     _refresh_pitchers(layout, days, listed)
     return True
 
@@ -104,10 +105,10 @@ def _games(enriched: DataFrame) -> DataFrame:
 
 def full_load(spark: SparkSession, layout: Layout, landed: DataFrame) -> None:
     """Every layer rebuilt from all landed rows (each a full overwrite)."""
-    layout.write(BRONZE, bronze.bronze_pitches(landed), partition_by="game_date")
+    layout.write(BRONZE, bronze.bronze_pitches(landed), partition_by="game_date", gathered=True)  # landed by day
     layout.write(GAME_DAYS, _game_days(layout.read(BRONZE), "game_date"))
-    layout.write(SILVER, silver.silver_base(layout.read(BRONZE)), partition_by="date")
-    layout.write(ENRICHED, silver.enrich(layout.read(SILVER), layout.read(PLAYERS)), partition_by="date")
+    layout.write(SILVER, silver.silver_base(layout.read(BRONZE), by_day=True), partition_by="date", gathered=True)
+    layout.write(ENRICHED, silver.enrich_by_day(layout.read(SILVER), layout.read(PLAYERS)), partition_by="date", gathered=True)
     enriched = layout.read(ENRICHED)
     layout.write(GAMES, _games(enriched), partition_by="season")
     layout.write(PITCHER_DAYS, _day_parts(enriched), partition_by="date")

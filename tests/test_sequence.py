@@ -102,3 +102,33 @@ def test_pitches_are_numbered_without_a_shuffle_of_wide_rows(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_one_shuffle_serves_numbers_and_days(spark):
+    from conftest import rows as got_rows
+
+    data = [(g, d, ab, n) for g, d in ((1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02"), (4, None), (None, "2024-01-03"))
+            for ab in range(3) for n in range(2)] + [(5, "2024-01-02", 1, 1), (5, "2024-01-01", 1, 2), (5, None, 0, 1)]
+    df = spark.createDataFrame(data, "g long, day string, ab long, n int").withColumn("day", F.to_date("day"))
+    plain = windowed_index(df, ["g"], ["ab", "n"], "i")
+    for per_bucket in (1_000_000, 2):
+        near = sequence_index(df, ["g"], ["ab", "n"], "i", rows_per_bucket=per_bucket, near="day")
+        assert got_rows(near) == got_rows(plain)
+    plan = sequence_index(df, ["g"], ["ab", "n"], "i", near="day")._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(__deal" in x for x in plain_lines(plan)) == 1 == sum("Exchange hashpartitioning" in x and "REPARTITION" in x for x in plain_lines(plan))
+
+
+def plain_lines(plan):
+    return plan.split("== Initial Plan ==")[0].splitlines()
+
+
+def test_enriched_by_day_equals_enriched(spark, tmp_root):
+    from conftest import SF0001
+    from conftest import rows as got_rows
+
+    numbered = silver.silver_base(fixtures.pitches(spark, SF0001))
+    numbered.withColumn("batter", F.when(F.col("batter") % 5 != 0, F.col("batter"))).write.parquet(tmp_root)
+    numbered = spark.read.parquet(tmp_root)  # stored: rows that tie may be numbered either way
+    people = silver.silver_players(fixtures.lookup(spark, SF0001))
+    got, want = silver.enrich_by_day(numbered, people), silver.enrich(numbered, people)
+    assert got.dtypes == want.dtypes and got_rows(got) == got_rows(want)

@@ -144,7 +144,7 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = lambda n: read_table(spark, sf_dir, n)
-    l, o, c, h, a, p = (t("lineitem").alias("l"), t("orders").alias("o"), t("customer").alias("c"),
+    l, o, c, h, a, p = (t("lineitem").alias("l"), t("orders").filter(F.col("o_orderkey").isNotNull()).alias("o"), t("customer").alias("c"),
                         t("nation").alias("h"), t("nation").alias("a"), t("part").alias("p"))
     # Orders meet their customers before the line items: a shuffle of orders by customer is one of few, narrow rows.
     games = (

@@ -400,6 +400,38 @@ def test_islands_improve_on_chance():
     assert len(end.bins) <= len(start.bins)
 
 
+def test_islands_start_from_chance(monkeypatch):
+    """No island is handed the plain best fit, and what evolves is no worse than it."""
+    import random
+
+    plain, first = [], genetic_packing.first_solution
+    monkeypatch.setattr(genetic_packing, "first_solution", lambda *a: plain.append(any(a[3:])) or first(*a))
+    for sizes in ([random.Random(3).randrange(200, 1200) for _ in range(3000)], [n for i in range(400) for n in (1100 + i, 948 - i)]):
+        best = genetic_packing.evolve(sizes, 2048, [], random.Random(1))
+        assert len(best.bins) <= len(first(sizes, 2048, random.Random(1), True).bins)
+    assert plain and not any(plain)
+
+
+def test_shards_leave_no_open_sequences(spark):
+    """The last sequences of all shards are opened again and filled: far less than one too many per shard is left."""
+    import random
+
+    rng = random.Random(4)
+    sizes = [rng.choice((2048, rng.randrange(1, 60), rng.randrange(1, 900))) for _ in range(4000)]
+    rows = genetic_packing.written(spark.createDataFrame(list(enumerate(sizes)), "uid long, length long"), "packing-test")
+    got = genetic_packing.pack(rows, shard_pieces=50).collect()
+    assert sorted(r["uid"] for r in got) == list(range(len(sizes)))
+    places = {}
+    for r in got:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], sizes[r["uid"]]))
+    for parts in places.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(parts)])]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 2048
+    short = [n for n in sizes if n < 2048]
+    shards = -(-len(short) // 50)
+    assert len(places) - (len(sizes) - len(short)) <= -(-sum(short) // 2048) + shards // 4
+
+
 # The registered queries that have no SQL, on their whole table.
 
 

@@ -3,17 +3,21 @@
 A text is cut at blanks (byte-level vocabularies) or at white space (those that
 drop it) into units, where the tokenizer's own pre-tokenizer cuts it too, so the
 ids of a text are those of its units in a row.  A unit that is not in the
-worker's cache is cut further into the pre-tokenizer's pieces (Latin units),
-and only pieces that are not cached either go to the tokenizer's model.  A text
-that holds a string of an added token goes to the tokenizer as it is.
+worker's cache is cut further into the pre-tokenizer's pieces (Latin units,
+all new ones of a text at once), and only pieces that are not cached either go
+to the tokenizer's model.  A text that holds a string of an added token goes to
+the tokenizer as it is.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import unicodedata
 from array import array
+from collections.abc import Collection
+from itertools import pairwise
 
 from pitchlake.llm.common import worker_cache
 
@@ -38,12 +42,12 @@ def _class(kind: str) -> str:
 _L, _N = _class("L"), _class("N")
 _BYTE_PIECES = re.compile(f"{_CONTRACTIONS}| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _WORD_PIECES = re.compile(f"{_CONTRACTIONS}|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+")
+# A unit that is empty or begins with white space: after another unit, a cut of the pre-tokenizer could differ.
+_BARE_UNIT = re.compile(f" (?![^{_SPACE}])")
 # Characters that stand for bytes in byte-level vocabularies: themselves where they print, else those from U+0100 on.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_CHARS = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
-_BLANK = chr(_BYTE_CHARS[0x20])
-# Pieces of which at most a leading blank is written otherwise.
-_PLAIN = re.compile(" ?[!-~]+")
+_OTHERS = sorted(set(range(256)) - set(_PRINTED))
+_BYTE_CHARS = "".join(chr(b) if b in _PRINTED else chr(0x100 + _OTHERS.index(b)) for b in range(256))
 # Units and pieces that a worker keeps; later ones are encoded each time (frequent ones come early).
 CACHE_UNITS, CACHE_PIECES = 500_000, 200_000
 
@@ -80,21 +84,20 @@ class Encoder:
             kept[path, byte_level, plain_text] = cls(path, byte_level, plain_text)
         return kept[path, byte_level, plain_text]
 
-    def _tokens(self, piece: str) -> bytes:
-        """The ids of one of the pre-tokenizer's pieces, by the tokenizer's model."""
-        if not _PLAIN.fullmatch(piece):
-            piece = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
-        elif piece[0] == " ":
-            piece = _BLANK + piece[1:]
-        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self._tokens(piece)
-            if len(self.pieces) < CACHE_PIECES:
-                self.pieces[piece] = ids
-        return ids
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of the pre-tokenizer's pieces (Latin), those not cached by the tokenizer's model."""
+        found, tokenize = {}, self.model.tokenize
+        out = list(map(self.pieces.get, pieces))
+        for at, ids in enumerate(out):
+            if ids is None:
+                piece = pieces[at]
+                if piece not in found:
+                    written = codecs.charmap_decode(piece.encode(), "strict", _BYTE_CHARS)[0]
+                    found[piece] = array("I", [t.id for t in tokenize(written)]).tobytes()
+                out[at] = found[piece]
+        if len(self.pieces) < CACHE_PIECES:
+            self.pieces.update(found)
+        return out
 
     def _ids(self, text: str) -> bytes:
         """The ids of a unit or text: of the pre-tokenizer's pieces (Latin), else by the whole tokenizer."""
@@ -103,17 +106,20 @@ class Encoder:
             normal = normal.lower()
         if not normal.isascii() and _NOT_LATIN.search(normal):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if normal.isalpha():
-            return self._tokens(normal)
-        return b"".join(map(self._piece, (_BYTE_PIECES if self.byte_level else _WORD_PIECES).findall(normal)))
+        return b"".join(self._pieces((_BYTE_PIECES if self.byte_level else _WORD_PIECES).findall(normal)))
 
-    def _unit(self, unit: str) -> bytes:
+    def _units(self, units: Collection[str]) -> dict[str, bytes]:
+        """The ids of different units."""
         if not self.byte_level:
-            return self._ids(unit)
-        # A blank stands before it.
-        if unit.isalpha() and (unit.isascii() or not _NOT_LATIN.search(unit)):
-            return self._tokens(" " + unit)
-        return self._ids(" " + unit)
+            return {u: self._ids(u) for u in units}
+        # A blank stands before each and nowhere else, so all can be cut at once.
+        text = " " + " ".join(units)
+        if _BARE_UNIT.search(text) or not text.isascii() and _NOT_LATIN.search(text):
+            return {u: self._ids(" " + u) for u in units}
+        pieces = _BYTE_PIECES.findall(text)
+        starts = [i for i, p in enumerate(pieces) if p[0] == " "]
+        ids = self._pieces(pieces)
+        return {u: ids[a] if b == a + 1 else b"".join(ids[a:b]) for u, (a, b) in zip(units, pairwise([*starts, len(pieces)]))}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -130,15 +136,10 @@ class Encoder:
             units = _WORDS.findall(text) if _OTHER_SPLITS.search(text) else text.split()
             start = b""
         known = self.units
-        try:
-            return start + b"".join(map(known.__getitem__, units))
-        except KeyError:
-            pass
-        found = {}
-        for u in units:
-            if u not in known and u not in found:
-                found[u] = self._unit(u)
-        if len(known) < CACHE_UNITS:
-            known.update(found)
-            return start + b"".join(map(known.__getitem__, units))
-        return start + b"".join(found[u] if u in found else known[u] for u in units)
+        ids = list(map(known.get, units))
+        if None in ids:
+            found = self._units({u for u, i in zip(units, ids) if i is None})
+            if len(known) < CACHE_UNITS:
+                known.update(found)
+            ids = [found[u] if i is None else i for u, i in zip(units, ids)]
+        return start + b"".join(ids)

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -71,6 +72,15 @@ def test_ids_of_pieces_are_those_of_the_text(odd, spark, name, byte_level, monke
             assert encoder.encode(t) == plain_ids(name, t), t
 
 
+def test_a_piece_of_several_units_goes_to_the_model_once():
+    encoder, asked = tokens.Encoder(queries.vocabulary("byte_bpe_50k.json"), True), []
+    model = encoder.model
+    encoder.model = SimpleNamespace(tokenize=lambda piece: asked.append(piece) or model.tokenize(piece))
+    for text in ("b shortstop shortstop, (shortstop) é shortstop.\n\n shortstop", "a shortstop! shortstop, (shortstop)"):
+        assert encoder.encode(text) == plain_ids("byte_bpe_50k.json", text)
+    assert len(asked) == len(set(asked))
+
+
 def test_added_tokens_as_plain_text():
     encoder = tokens.Encoder(queries.vocabulary("byte_bpe_50k.json"), True, plain_text=True)
     assert 50256 not in np.frombuffer(encoder.encode("a <|endoftext|>"), dtype="<u4")

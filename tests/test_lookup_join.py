@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from pitchlake.operators.lookup_join import resolve_names
+from pitchlake.operators.lookup_join import fits_in_memory, resolve_names
 
 
 def _frames(spark):
@@ -44,3 +44,22 @@ def test_no_strategy_is_forced_and_no_job_runs_while_planning(spark):
     fact, dim = _frames(spark)
     plan = resolve_names(fact, dim, {"batter": "batter"})._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan
+
+
+def test_a_dimension_that_fits_is_broadcast_whatever_the_threshold(spark):
+    fact, dim = _frames(spark)
+    dim = dim.union(spark.createDataFrame([(None, "nobody")], "player_id long, player_name string"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = resolve_names(fact, dim, {"batter": "batter", "pitcher": "pitcher"}, broadcast=True)
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == [(1, "Ten", "Twenty"), (2, "Eleven", None), (3, None, "Twenty"), (4, None, "TwentyOne")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_fits_in_memory_counts_rows_and_names(spark):
+    dim = spark.createDataFrame([(1, "abcd"), (2, None), (None, "nobody")], "player_id long, player_name string")
+    assert fits_in_memory(dim, most=116) and not fits_in_memory(dim, most=115)
+    assert fits_in_memory(dim.limit(0), most=0)

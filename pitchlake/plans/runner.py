@@ -13,6 +13,7 @@ from pitchlake.plans import bronze, gold, silver
 from pitchlake.schemas import PITCH_KEYS, PLAYER_SCHEMA
 from pitchlake.sinks.landing import land_days, landed_days, read_log
 from pitchlake.sinks.layout import Layout
+from pitchlake.sinks.ranges import one_of
 from pitchlake.sources.landing import date_range
 
 # Table names.
@@ -28,6 +29,8 @@ PITCHER_DAYS = "gold_pitcher_days"
 # Which days hold rows of a game: (game_pk, day), so that a change of a game reads those days only.
 GAME_DAYS = "index_game_days"
 AFFECTED = "index_affected_days"
+# Games of the affected days that also have rows outside of them.
+OPEN_GAMES = "index_open_games"
 # People whose register row changed with the last load.
 CHANGED_PEOPLE = "index_changed_people"
 
@@ -74,24 +77,28 @@ def reenrich(spark: SparkSession, layout: Layout) -> bool:
     if not listed:
         return False
     # Their days are written anew, all games of them: other rows read the same people as before.
-    rows = layout.read(SILVER).filter(F.col("date").isin(listed))
-    layout.write(ENRICHED, silver.enrich_by_day(rows, layout.read(PLAYERS)), partition_by="date", mode="dynamic", gathered=True)
-    _refresh_pitchers(layout, days, listed)
+    _enrich_days(layout, listed)
+    _refresh_pitchers(layout, listed)
     return True
 
 
+def _enrich_days(layout: Layout, listed: list[dt.date | None]) -> None:
+    """The enriched rows of whole days, from silver."""
+    rows = layout.read(SILVER).filter(one_of("date", listed))
+    layout.rewrite(ENRICHED, silver.enrich_by_day(rows, layout.read(PLAYERS)), "date", listed, gathered=True)
+
+
 def _day_parts(enriched: DataFrame) -> DataFrame:
     return gold.pitcher_parts(enriched, ("date", *gold.PITCHER_KEYS))
 
 
-def _refresh_pitchers(layout: Layout, days: DataFrame, listed: list[dt.date]) -> None:
-    """The yearly table after a change of ``days``: their parts are made again, and the seasons added up from parts."""
-    touched = layout.read(ENRICHED).filter(F.col("date").isin(listed))
-    layout.replace(PITCHER_DAYS, _day_parts(touched), days.select(F.col("day").alias("date")), "date", old_values=days)
-    years = sorted({d.year for d in listed})
-    seasons = days.select(F.year("day").alias("season")).distinct()
-    parts = layout.read(PITCHER_DAYS).filter(F.year("date").isin(years))
-    layout.replace(PITCHERS, gold.with_rates(gold.merged_parts(parts)), seasons, "season", old_values=seasons)
+def _refresh_pitchers(layout: Layout, listed: list[dt.date | None]) -> None:
+    """The yearly table after a change of days: their parts are made again, and the seasons added up from parts."""
+    layout.rewrite(PITCHER_DAYS, _day_parts(layout.read(ENRICHED).filter(one_of("date", listed))), "date", listed)
+    years = list({d and d.year for d in listed})
+    parts = layout.read(PITCHER_DAYS)
+    parts = parts.withColumn("__year", F.year("date")).filter(one_of("__year", years))
+    layout.rewrite(PITCHERS, gold.with_rates(gold.merged_parts(parts)), "season", years)
 
 
 def _game_days(rows: DataFrame, col: str) -> DataFrame:
@@ -120,8 +127,10 @@ def incremental_run(spark: SparkSession, layout: Layout, landed: DataFrame,
     """Apply the landed rows of ``[start, end]`` to every layer; the tables then equal a full load.
 
     Silver numbers pitches per game and gold aggregates per game and per
-    season, so the rows of all affected games (also their rows of other days)
-    are computed anew and take the place of the old ones.  Affected seasons,
+    season, so the days that hold rows of affected games (also those of other
+    ranges) are computed anew, all games of them, and written in the place of the old
+    ones, without a search for old rows.  Rows of a game that is not affected but has rows outside
+    these days stay as they are.  Affected seasons,
     before and after the change, are added up from parts by day, of which only
     those of touched days are made again.  Only days that hold rows
     of affected games are read (by partition).  Returns False (and writes
@@ -140,16 +149,32 @@ def incremental_run(spark: SparkSession, layout: Layout, landed: DataFrame,
         listed = [r[0] for r in days.collect()]  # days of the calendar
         seasons = days.select(F.year("day").alias("season")).distinct()
 
-        def whole_games(name: str, col: str) -> DataFrame:
-            table = layout.read(name)
-            return table.filter(F.col(col).isin(listed)).join(games, on="game_pk", how="left_semi")
-
-        layout.upsert(BRONZE, bronze.bronze_pitches(new), PITCH_KEYS, partition_by="game_date", old_values=days)
-        layout.replace(GAME_DAYS, _game_days(whole_games(BRONZE, "game_date"), "game_date"), games)
-        layout.replace(SILVER, silver.silver_base(whole_games(BRONZE, "game_date")), games, "date", old_values=days)
-        layout.replace(ENRICHED, silver.enrich(whole_games(SILVER, "date"), layout.read(PLAYERS)), games, "date", old_values=days)
-        layout.replace(GAMES, _games(whole_games(ENRICHED, "date")), games, "season", old_values=seasons)
-        _refresh_pitchers(layout, days, listed)
+        layout.upsert(BRONZE, bronze.bronze_pitches(new), PITCH_KEYS, partition_by="game_date", old_values=days, gathered=True)  # landed by day
+        layout.replace(GAME_DAYS, _game_days(layout.read(BRONZE).filter(one_of("game_date", listed)).join(
+            games, on="game_pk", how="left_semi"), "game_date"), games)
+
+        # Games of these days that also have rows outside: their numbers and summaries don't follow from these days.
+        here = one_of("day", listed)
+        inside = layout.read(GAME_DAYS).filter(here).select("game_pk").distinct()
+        layout.write(OPEN_GAMES, layout.read(GAME_DAYS).filter(~here).join(inside, on="game_pk", how="left_semi").select("game_pk").distinct())
+        some_open = not layout.read(OPEN_GAMES).isEmpty()
+
+        def closed(rows: DataFrame) -> DataFrame:
+            known = rows.filter(F.col("game_pk").isNotNull())
+            return known.join(layout.read(OPEN_GAMES), on="game_pk", how="left_anti") if some_open else known
+
+        def of_days(name: str, col: str = "date") -> DataFrame:
+            return layout.read(name).filter(one_of(col, listed))
+
+        numbered = silver.silver_base(closed(of_days(BRONZE, "game_date")), by_day=True)
+        stay = of_days(SILVER)
+        unknown = stay.filter(F.col("game_pk").isNull())
+        stay = unknown.unionByName(stay.join(layout.read(OPEN_GAMES), on="game_pk", how="left_semi")) if some_open else unknown
+        layout.rewrite(SILVER, numbered.unionByName(stay), "date", listed, gathered=True)
+        _enrich_days(layout, listed)
+        changed = closed(inside.union(games).distinct())
+        layout.replace(GAMES, _games(closed(of_days(ENRICHED))), changed, "season", old_values=seasons)
+        _refresh_pitchers(layout, listed)
         return True
 
     return bool(run_if_new(rng, apply))

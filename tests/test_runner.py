@@ -101,6 +101,48 @@ def test_register_changes_reach_the_names_of_old_games(spark, tmp_root):
         assert _table(full, name) == _table(inc, name), name
 
 
+def test_a_stored_register_meets_the_days_without_a_shuffle(spark, tmp_root, monkeypatch):
+    from pitchlake.plans import silver
+    from pitchlake.plans.bronze import read_bronze_source
+
+    layout = Layout(spark, f"{tmp_root}/t")
+    rows = read_bronze_source(spark, _inputs(spark, tmp_root)).withColumn(
+        "batter", F.when(F.col("pitch_number") != 3, F.col("batter")))
+    runner.load_players(spark, layout, f"{tmp_root}/people/part-*.csv")
+    layout.write(runner.SILVER, silver.silver_base(rows), partition_by="date")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        named = silver.enrich_by_day(layout.read(runner.SILVER), layout.read(runner.PLAYERS))
+        assert "Exchange hashpartitioning" not in named._jdf.queryExecution().executedPlan().toString()
+        layout.write("small", named, partition_by="date", gathered=True)
+        monkeypatch.setattr(silver, "fits_in_memory", lambda players: False)
+        layout.write("large", silver.enrich_by_day(layout.read(runner.SILVER), layout.read(runner.PLAYERS)), partition_by="date", gathered=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert _table(layout, "small") == _table(layout, "large")
+
+
+def test_games_over_two_days_beside_an_increment(spark, tmp_root):
+    from pitchlake.plans.bronze import read_bronze_source
+
+    landed, odd = read_bronze_source(spark, _inputs(spark, tmp_root)), F.col("pitch_number") % 2 == 1
+    before, day = F.lit(SPLIT - dt.timedelta(days=2)), F.col("game_date")
+    # Odd pitches of some games of either side lie two days before the split: of changed games, and of games that nobody changes.
+    moved = (F.col("game_pk") % 3 == 0) & day.between(F.lit(SPLIT), F.lit(SPLIT + dt.timedelta(days=10)))
+    still = (F.col("game_pk") % 3 == 1) & day.between(F.lit(SPLIT - dt.timedelta(days=20)), F.lit(SPLIT - dt.timedelta(days=3)))
+    rows = landed.withColumn("game_date", F.when(odd & (moved | still), before).otherwise(day)).drop("y", "m", "d")
+    full, inc = Layout(spark, f"{tmp_root}/full"), Layout(spark, f"{tmp_root}/inc")
+    for lay in (full, inc):
+        runner.load_players(spark, lay, f"{tmp_root}/people/part-*.csv")
+    runner.full_load(spark, full, rows)
+    runner.full_load(spark, inc, rows.filter(F.col("game_date") < F.lit(SPLIT)))
+    assert runner.incremental_run(spark, inc, rows, SPLIT, "2030-01-01") is True
+    assert inc.read(runner.OPEN_GAMES).count() > 0
+    for name in (runner.GAME_DAYS, runner.SILVER, runner.ENRICHED, runner.GAMES, runner.PITCHER_DAYS, runner.PITCHERS):
+        assert _table(full, name) == _table(inc, name), name
+
+
 def test_parts_by_day_add_up(spark):
     from pitchlake import catalog
     from pitchlake.plans import gold
